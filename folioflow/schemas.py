@@ -261,7 +261,7 @@ trade_date           date    ANC_DATE    | announced on
 rating_organization  string  RAT_ORG     | agency
 """)
 
-CALENDAR = _spec("MarketData", "QtCalendar", "CALENDAR_DATES", """
+CALENDAR = _spec("MarketData", "Calendar", "CALENDAR_DATES", """
 scope          string  -              | default calendar or all
 calendar_id    string  CALENDAR_ID    | calendar
 calendar_date  date    CALENDAR_DATE  | business day
