@@ -67,15 +67,17 @@ def convert_currency(
     """
     factors = factors_to_pivot(rates, by, pair, rate, pivot)
     own = factors.withColumnsRenamed({"currency": "_currency", "factor": "_own"})
-    asked = factors.where(F.col("currency") == target).select(*by, F.col("factor").alias("_asked"))
+    asked = factors.where(F.col("currency") == target)
     if by:
         own = own.withColumnsRenamed({c: f"_{c}" for c in by})
         same_day = [df[c] == F.col(f"_{c}") for c in by]
         joined = df.join(own, [*same_day, df[currency] == F.col("_currency")], "left")
-        joined = joined.drop("_currency", *[f"_{c}" for c in by]).join(asked, list(by), "left")
+        joined = joined.drop("_currency", *[f"_{c}" for c in by])
+        joined = joined.join(asked.select(*by, F.col("factor").alias("_asked")), list(by), "left")
     else:
+        found = asked.first()
         joined = df.join(own, df[currency] == F.col("_currency"), "left").drop("_currency")
-        joined = joined.join(asked.withColumn("_target", F.lit(target)), F.lit(target) == F.col("_target"), "left").drop("_target")
+        joined = joined.withColumn("_asked", F.lit(found["factor"] if found else None).cast("double"))
     same = F.col(currency).isNull() | (F.col(currency) == "") | (F.col(currency) == target)
     from_pivot = F.col(currency) == pivot
     own_factor = F.when(from_pivot, F.lit(1.0)).otherwise(F.col("_own"))
