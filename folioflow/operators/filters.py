@@ -45,9 +45,7 @@ def bond_class_only(df: DataFrame, column: str = "bond_type") -> DataFrame:
 
 
 def key_tenors_only(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.round(F.col(column).cast("double"), 2).isin(list(KEY_TENORS)) & (
-        F.round(F.col(column).cast("double"), 2) == F.col(column).cast("double")
-    ))
+    return df.where(F.col(column).cast("double").isin(list(KEY_TENORS)))
 
 
 def first_match(df: DataFrame, wanted: str, **equal) -> str | None:

@@ -185,13 +185,15 @@ def asof_join(
     columns: Sequence[str] | dict[str, str],
     tie_break: Sequence[str] = (),
     direction: str = "backward",
+    per_column: bool = False,
     max_group_rows: int | None = None,
 ) -> DataFrame:
     """Left join to the latest right row of the key at or before the left row's time
     (`direction="forward"`: the earliest at or after it).
 
     Among right rows at one time the largest by `tie_break` wins (the smallest when looking
-    forward). Null keys match nothing. One shuffle: both sides are stacked and the last right
+    forward). With `per_column` each column takes its own latest known value instead of that
+    of one row. Null keys match nothing. One shuffle: both sides are stacked and the last right
     row is carried over the left rows, so no row pairs are formed.
     """
     if direction not in ("backward", "forward"):
@@ -202,6 +204,14 @@ def asof_join(
     keys = [f"_k{i}" for i in range(len(pairs))]
     ties = [f"_tie{i}" for i in range(len(tie_break))]
 
+    if per_column:
+        found = {f"_found{i}": F.col(c).alias(f"_found{i}") for i, c in enumerate(names)}
+        results = [F.col(f).alias(out) for f, out in zip(found, names.values())]
+    else:
+        row = F.struct(*[F.col(c).alias(out) for c, out in names.items()])
+        found = {"_found": row.alias("_found")}
+        results = [F.col("_found").getField(out).alias(out) for out in names.values()]
+
     has_key = reduce(lambda a, b: a & b, [F.col(l).isNotNull() for l, _ in pairs], F.lit(True))
     stacked_left = left.where(has_key & F.col(left_on).isNotNull()).select(
         "*",
@@ -215,13 +225,13 @@ def asof_join(
         F.col(right_on).alias("_time"),
         F.lit(0 if backward else 1).alias("_side"),
         *[F.col(c).alias(t) for c, t in zip(tie_break, ties)],
-        F.struct(*[F.col(c).alias(out) for c, out in names.items()]).alias("_found"),
+        *found.values(),
     )
     both = stacked_left.unionByName(stacked_right, allowMissingColumns=True)
     fill = fill_forward if backward else fill_backward
-    filled = fill(both, keys, ["_time", "_side", *ties], ["_found"], max_group_rows)
+    filled = fill(both, keys, ["_time", "_side", *ties], list(found), max_group_rows)
     matched = filled.where(F.col("_side") == (1 if backward else 0)).select(
-        *left.columns, *[F.col("_found").getField(out).alias(out) for out in names.values()]
+        *left.columns, *results
     )
     without_key = left.where(~(has_key & F.col(left_on).isNotNull()))
     return matched.unionByName(without_key, allowMissingColumns=True)
