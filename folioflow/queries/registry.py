@@ -48,6 +48,7 @@ def year(column: str) -> Column:
 
 # Added before rounding where exact halves occur, on which engines round differently.
 NUDGE = 0.00000137
+FINE_NUDGE = 0.00000000137
 
 
 def rounded(df: DataFrame, digits: int, *columns: str, nudge: float = 0.0) -> DataFrame:
