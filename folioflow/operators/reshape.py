@@ -32,7 +32,8 @@ def unpivot_measures(
 ) -> DataFrame:
     """Columns to (label, value) rows: `measures` maps column to label."""
     labelled = df.select(*ids, *[F.col(c).cast("double").alias(l) for c, l in measures.items()])
-    long = labelled.unpivot(list(ids), list(measures.values()), name, value)
+    columns = [F.col(f"`{label}`") for label in measures.values()]
+    long = labelled.unpivot(list(ids), columns, name, value)
     return long if keep_nulls else long.where(F.col(value).isNotNull())
 
 

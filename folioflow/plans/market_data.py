@@ -152,22 +152,21 @@ def _bond_curves(ctx: BuildContext) -> DataFrame:
     )
 
 
-def _rates(ctx: BuildContext, table: str, day: str, rate: str, *columns) -> DataFrame:
+def _rates(ctx: BuildContext, table: str, day: str, rate: str, named: bool = False) -> DataFrame:
     return ctx.table(table, day).select(
         F.col("IR_CODE").alias("index"),
-        *columns,
+        *([F.col("CNAME").alias("index_name")] if named else []),
         F.col(day).cast("date").alias("trade_date"),
         F.col(rate).cast("double").alias("rate"),
     )
 
 
-_NAME = F.col("CNAME").alias("index_name")
-
-
 def _with_rate_info(ctx: BuildContext, rates: DataFrame) -> DataFrame:
     """Names and symbols from the rate master; rates it does not know drop out."""
     info = ctx.table("INFO_FI_IR_BASICINFO").select(
-        F.col("IRCODE").alias("index"), _NAME, F.col("SYMBOL").alias("symbol")
+        F.col("IRCODE").alias("index"),
+        F.col("CNAME").alias("index_name"),
+        F.col("SYMBOL").alias("symbol"),
     )
     return rates.join(info, "index")
 
@@ -177,8 +176,8 @@ def index_rate(ctx: BuildContext) -> DataFrame:
     kinds = curves.curve_types(ctx.table("INFO_FI_IR_BASICINFO"), ctx.table("INFO_PARA_INFO"))
     return curves.reference_rates(
         _bond_curves(ctx),
-        _rates(ctx, "INFO_FI_BNK_DL_IR", "CHG_START_DATE", "INTR_RAT", _NAME),
-        _rates(ctx, "INFO_FI_GLOBAL_IBOR", "TRD_DATE", "INTR_RAT", _NAME),
+        _rates(ctx, "INFO_FI_BNK_DL_IR", "CHG_START_DATE", "INTR_RAT", named=True),
+        _rates(ctx, "INFO_FI_GLOBAL_IBOR", "TRD_DATE", "INTR_RAT", named=True),
         kinds,
     )
 
@@ -200,7 +199,7 @@ def time_series(ctx: BuildContext) -> DataFrame:
             "index", "trade_date", "tenor", "rate"
         ),
         swaps,
-        _rates(ctx, "INFO_FI_BNK_DL_IR", "CHG_START_DATE", "INTR_RAT", _NAME),
+        _rates(ctx, "INFO_FI_BNK_DL_IR", "CHG_START_DATE", "INTR_RAT", named=True),
         _with_rate_info(ctx, _rates(ctx, "INFO_FI_GLOBAL_IBOR", "TRD_DATE", "INTR_RAT")),
         _with_rate_info(ctx, fixing.where(F.col("index") == REPO_FIXING)),
     )

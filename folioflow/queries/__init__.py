@@ -2,6 +2,7 @@
 
 from folioflow.queries.registry import QUERIES, Query
 from folioflow.queries import (  # noqa: F401
+    built_datasets,
     dataset_layer,
     fixed_income,
     market,
