@@ -271,7 +271,7 @@ def look_through_positions(spark, sf_dir):
         detail.withColumn("currency", F.lit("CNY")),
         graph.look_through(ownership(spark, sf_dir)),
         terms,
-        attributes=["unit_cost"],
+        attributes=(),
     )
     return seen.groupBy("book_id", "trade_date", "instrument_code").agg(
         F.count(F.lit(1)).alias("n_rows"),
