@@ -26,7 +26,10 @@ def outstanding_principal(
     default: float = FULL_PRINCIPAL,
     max_group_rows: int | None = None,
 ) -> DataFrame:
-    """Principal left after the last payment on or before the day; `default` before any."""
+    """Principal left after the last payment on or before the day; `default` before any.
+
+    A bond has a few valuations per day, so its window is bounded by the calendar.
+    """
     paid = cashflow.where(F.col(principal).isNotNull())
     rows = asof_join(
         valuation, paid, [code], day, day, [principal], tie_break=[principal], max_group_rows=max_group_rows

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from folioflow.operators.ordered import asof_join
+from folioflow.operators.sizes import broadcast_if_small
 
 DEFAULT_SCOPE, ALL_SCOPE = "CAL0004", "ALL"
 
@@ -35,32 +36,39 @@ def business_day_shift(
     short the farthest day is taken; a date outside the calendar gives null. Rows choose their
     calendar by `calendar_id` if they have that column; otherwise the calendar must hold one.
 
-    Only the distinct dates are looked up, so the work on `df` is one join with a frame that
-    has at most a row per calendar day.
+    The answer is worked out once for every day of the calendar's span and looked up, so the
+    rows of `df` are joined to a frame of one row per calendar and day and never sorted.
     """
     ranked = ranked_calendar(calendar, calendar_id, day)
     keyed = calendar_id in df.columns
     keys = [calendar_id] if keyed else []
-    dates = df.select(*keys, F.col(column).cast("date").alias("_date")).distinct()
+    span = calendar.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if span["first"] is None:
+        return df.withColumn(output, F.lit(None).cast("date"))
+    before, after = F.date_sub(F.lit(span["first"]), 1), F.date_add(F.lit(span["last"]), 1)
+    dates = ranked.select(calendar_id).distinct().withColumn(
+        "_date", F.explode(F.sequence(before, after))
+    )
     base = asof_join(
         dates,
         ranked,
-        keys,
+        [calendar_id],
         "_date",
         day,
-        {"rank": "_rank", "n_days": "_n_days", calendar_id: "_calendar"},
+        {"rank": "_rank", "n_days": "_n_days"},
         direction="backward" if n > 0 else "forward",
-    )
+        max_group_rows=None,
+    ).where(F.col("_rank").isNotNull())
     wanted = base.withColumn(
         "_rank", F.greatest(F.lit(1), F.least(F.col("_n_days"), F.col("_rank") - F.lit(n)))
     )
-    target = ranked.select(
-        F.col(calendar_id).alias("_calendar"), F.col("rank").alias("_rank"), F.col(day).alias(output)
-    )
-    shifted = wanted.join(target, ["_calendar", "_rank"], "left").select(*keys, "_date", output)
+    target = ranked.select(calendar_id, F.col("rank").alias("_rank"), F.col(day).alias(output))
+    shifted = wanted.join(target, [calendar_id, "_rank"]).select(*keys, "_date", output)
+    own_day = F.col(column).cast("date")
+    within = F.when(own_day.isNotNull(), F.greatest(before, F.least(after, own_day)))
     return (
-        df.withColumn("_date", F.col(column).cast("date"))
-        .join(shifted, [*keys, "_date"], "left")
+        df.withColumn("_date", within)
+        .join(broadcast_if_small(shifted), [*keys, "_date"], "left")
         .select(*df.columns, output)
     )
 

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from folioflow.functions.labels import rating_bucket
-from folioflow.operators.ordered import asof_join
+from folioflow.operators.ordered import MAX_GROUP_ROWS, asof_join
 from folioflow.operators.reshape import union_distinct
 
 
 def classify(
-    df: DataFrame, history: DataFrame, system: str, max_group_rows: int | None = None
+    df: DataFrame, history: DataFrame, system: str, max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Sector of each row's issuer on its day, in one classification system."""
     of_system = history.where(F.col("industry_code") == system)
@@ -29,7 +29,7 @@ def classify(
 
 
 def rate_instruments(
-    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = None
+    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Latest rating of each instrument on its day, and the bucket of that rating."""
     rated = _latest_rating(df, ratings, "instrument_code", max_group_rows)
@@ -37,7 +37,7 @@ def rate_instruments(
 
 
 def rate_issuers(
-    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = None
+    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Latest rating of each issuer on its day."""
     return _latest_rating(df, ratings, "issuer_code", max_group_rows)

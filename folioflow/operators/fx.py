@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from folioflow.columns import PIVOT_CURRENCY
+from folioflow.operators.sizes import broadcast_if_small
 
 
 def first_rates(
@@ -63,9 +64,9 @@ def convert_currency(
 
     `by` names the columns quotes and rows share (the day, or nothing for one set of quotes).
     A missing quote counts as factor 1, as does a missing or equal currency. The factors are a
-    few per day, so both joins are left to Spark's measured broadcast.
+    few per day; they are counted and broadcast if small, so the rows need no shuffle.
     """
-    factors = factors_to_pivot(rates, by, pair, rate, pivot)
+    factors = broadcast_if_small(factors_to_pivot(rates, by, pair, rate, pivot))
     own = factors.withColumnsRenamed({"currency": "_currency", "factor": "_own"})
     asked = factors.where(F.col("currency") == target)
     if by:

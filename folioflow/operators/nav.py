@@ -81,7 +81,7 @@ def returns(
     row per instrument and day, so the window is bounded by the calendar)."""
     rows = quotes
     if previous is None:
-        rows = previous_row(rows, by, order, {price: "_previous"})
+        rows = previous_row(rows, by, order, {price: "_previous"}, max_group_rows=None)
     change = simple_return(price, previous or "_previous")
     rows = rows.withColumn(simple, change)
     return rows.withColumn(log, log_return(simple)).drop("_previous")

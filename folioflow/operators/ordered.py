@@ -1,11 +1,11 @@
 """Ordered operators per key: previous row, fills, as-of joins.
 
 A window puts all rows of one key into one task. Where the grain bounds a key (one row per
-instrument and day) that is right, and callers leave `max_group_rows` unset. Where it does
-not, `max_group_rows` makes the operator measure the largest key first. If a key is over the
-limit, its rows are cut into slices of about equal size along the order column, and each
-slice starts with one extra row that carries what the earlier slices leave behind. The result
-is the same row for row; only the unit of work is smaller.
+instrument and day) that is right, and callers pass `max_group_rows=None`. Elsewhere the
+operator measures the largest key first. If a key is over the limit, its rows are cut into
+slices of about equal size along the order column, and each slice starts with one extra row
+that carries what the earlier slices leave behind. The result is the same row for row; only
+the unit of work is smaller.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 2048
 BROADCAST_KEYS = 100_000
 
@@ -139,7 +140,7 @@ def fill_forward(
     by: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    max_group_rows: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Replace nulls by the last known value of the key."""
     return _over_keys(df, by, order, columns, columns, _last_known, False, max_group_rows)
@@ -150,7 +151,7 @@ def fill_backward(
     by: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    max_group_rows: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Replace nulls by the next known value of the key."""
     return _over_keys(df, by, order, columns, columns, _last_known, True, max_group_rows)
@@ -161,7 +162,7 @@ def previous_row(
     by: Sequence[str],
     order: Sequence[str],
     columns: dict[str, str],
-    max_group_rows: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Value of the previous row of the key: `{column: output name}`."""
     if max_group_rows is None:
@@ -186,7 +187,7 @@ def asof_join(
     tie_break: Sequence[str] = (),
     direction: str = "backward",
     per_column: bool = False,
-    max_group_rows: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Left join to the latest right row of the key at or before the left row's time
     (`direction="forward"`: the earliest at or after it).

@@ -256,6 +256,7 @@ def with_share_structure(quotes: DataFrame, changes: DataFrame) -> DataFrame:
         "announced",
         {c: f"_{c}" for c in SHARE_COLUMNS},
         per_column=True,
+        max_group_rows=None,
     )
     first = per_day.groupBy("issuer_code").agg(*first_known(SHARE_COLUMNS, ["announced"]))
     return asof.join(first, "issuer_code", "left").select(

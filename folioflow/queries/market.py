@@ -8,7 +8,7 @@ from folioflow.functions.labels import rating_bucket
 from folioflow.operators import calendar, classes, dedupe, nav, ordered
 from folioflow.operators.filters import held_codes, restrict_to_codes
 from folioflow.operators.reshape import tagged_union
-from folioflow.queries.registry import GROUP_ROWS, NUDGE, day, query, rounded, table
+from folioflow.queries.registry import NUDGE, day, query, rounded, table
 
 RATED_SQL = """
 rated AS (
@@ -38,7 +38,7 @@ def _rated(spark, sf_dir):
     bought = _events(spark, sf_dir, "purchase").select("event_id", "user_id", "ts")
     return ordered.asof_join(
         bought, ratings, ["user_id"], "ts", "ts", ["rating_event", "rating"],
-        tie_break=["rating_event"], max_group_rows=GROUP_ROWS,
+        tie_break=["rating_event"],
     )
 
 
@@ -68,7 +68,7 @@ def asof_forward(spark, sf_dir):
     bought = _events(spark, sf_dir, "purchase").select("event_id", "user_id", "ts")
     return ordered.asof_join(
         bought, later, ["user_id"], "ts", "ts", ["next_event"], tie_break=["next_event"],
-        direction="forward", max_group_rows=GROUP_ROWS,
+        direction="forward",
     ).select("event_id", "next_event").fillna(-1, ["next_event"])
 
 
@@ -86,7 +86,7 @@ def _brand_items(spark, sf_dir):
     )
 
 
-@query("""
+@query(f"""
 WITH priced AS (
   SELECT p_brand AS instrument_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS priced_on,
          sum(l_extendedprice) / sum(l_quantity) AS price
@@ -96,7 +96,7 @@ WITH priced AS (
          CAST(l_shipdate AS DATE) AS trade_date
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )
-SELECT l_orderkey, l_partkey, l_linenumber, trade_date, priced_on, round(price, 4) AS price
+SELECT l_orderkey, l_partkey, l_linenumber, trade_date, priced_on, round(price + {NUDGE}, 4) AS price
 FROM items i ASOF LEFT JOIN priced p
   ON i.instrument_code = p.instrument_code AND i.trade_date >= p.priced_on
 """)
@@ -108,9 +108,8 @@ def asof_price(spark, sf_dir):
     left = items.select("l_orderkey", "l_partkey", "l_linenumber", "instrument_code", "trade_date")
     found = ordered.asof_join(
         left, priced, ["instrument_code"], "trade_date", "priced_on", ["priced_on", "price"],
-        max_group_rows=GROUP_ROWS,
     )
-    return rounded(found.drop("instrument_code"), 4, "price")
+    return rounded(found.drop("instrument_code"), 4, "price", nudge=NUDGE)
 
 
 @query("""
@@ -173,7 +172,7 @@ FROM events
 """)
 def fill_forward(spark, sf_dir):
     filled = ordered.fill_forward(
-        _gappy(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["value"], GROUP_ROWS
+        _gappy(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["value"]
     )
     return filled.drop("ts")
 
@@ -187,7 +186,7 @@ FROM events
 """)
 def fill_backward(spark, sf_dir):
     filled = ordered.fill_backward(
-        _gappy(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["value"], GROUP_ROWS
+        _gappy(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["value"]
     )
     return filled.drop("ts")
 
@@ -199,8 +198,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 def previous_event(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", "event_type")
     lagged = ordered.previous_row(
-        events, ["user_id"], ["ts", "event_id"], {"value": "prev_value", "event_type": "prev_type"},
-        GROUP_ROWS,
+        events, ["user_id"], ["ts", "event_id"], {"value": "prev_value", "event_type": "prev_type"}
     )
     return lagged.select("event_id", "user_id", "prev_value", "prev_type")
 
@@ -344,7 +342,8 @@ _SHIFT_BACK_SQL = f"""
 WITH {CALENDAR_SQL},
 based AS (SELECT s.*, r.rank, r.n_days FROM ships s ASOF LEFT JOIN ranked r ON s.ship_date >= r.calendar_date)
 SELECT l_orderkey, l_partkey, l_linenumber, ship_date, t.calendar_date AS business_day
-FROM based b LEFT JOIN ranked t ON t.rank = greatest(1, b.rank - %d)
+FROM based b LEFT JOIN ranked t
+  ON b.rank IS NOT NULL AND t.rank = greatest(1, b.rank - %d)
 """
 _SHIFT_ON_SQL = f"""
 WITH {CALENDAR_SQL},
@@ -459,7 +458,7 @@ def sector_asof(spark, sf_dir):
         F.lit("075").alias("industry_code"),
     )
     rows = events.select("event_id", F.col("user_id").alias("issuer_code"), day("ts").alias("trade_date"))
-    return classes.classify(rows, history, "075", GROUP_ROWS).select("event_id", "sector_code")
+    return classes.classify(rows, history, "075").select("event_id", "sector_code")
 
 
 @query("""
@@ -489,5 +488,5 @@ def outstanding_default(spark, sf_dir):
     paid = _events(spark, sf_dir, "view").select(
         "user_id", day("ts").alias("trade_date"), F.col("value").alias("cash_amt_aft")
     )
-    rows = outstanding_principal(valued, paid, code="user_id", max_group_rows=GROUP_ROWS)
+    rows = outstanding_principal(valued, paid, code="user_id", max_group_rows=ordered.MAX_GROUP_ROWS)
     return rows.select("event_id", "cash_amt_aft")

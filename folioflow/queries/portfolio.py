@@ -237,7 +237,7 @@ def look_through(spark, sf_dir):
 
 
 @query(f"""
-WITH RECURSIVE {DETAIL_SQL}, {PAIRS_SQL},
+WITH RECURSIVE {POSITIONS_SQL}, {PAIRS_SQL},
 terms AS (
   SELECT book_id, trade_date, instrument_code, sum(quantity * cost) / sum(cost) AS remn_term
   FROM detail GROUP BY 1, 2, 3
@@ -246,7 +246,7 @@ scaled AS (
   SELECT r.root_book_id AS book_id, d.trade_date, d.instrument_code, d.valuation_price, r.invest_rate,
          sum(d.market_value * r.invest_rate) AS market_value,
          sum(d.quantity * r.invest_rate) AS quantity, sum(d.cost * r.invest_rate) AS cost
-  FROM detail d JOIN pairs r ON d.trade_date = r.trade_date AND d.book_id = r.children_book_id
+  FROM grouped d JOIN pairs r ON d.trade_date = r.trade_date AND d.book_id = r.children_book_id
   GROUP BY 1, 2, 3, 4, 5
 ),
 lagged AS (
@@ -267,8 +267,11 @@ def look_through_positions(spark, sf_dir):
     terms = positions.weighted_term(
         detail.withColumn("remn_term", F.col("quantity")), ["book_id", "trade_date", "instrument_code"]
     )
+    consolidated = positions.consolidate_positions(
+        detail, ["book_id", "instrument_code", "trade_date"]
+    )
     seen = positions.penetrate_positions(
-        detail.withColumn("currency", F.lit("CNY")),
+        consolidated.withColumn("currency", F.lit("CNY")),
         graph.look_through(ownership(spark, sf_dir)),
         terms,
         attributes=(),

@@ -7,10 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Largest number of rows of one key a single task is given before the key is sliced.
-GROUP_ROWS = 5_000_000
-
-
 @dataclass(frozen=True)
 class Query:
     run: Callable[[SparkSession, str], DataFrame]

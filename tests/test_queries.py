@@ -25,7 +25,7 @@ WRITES = {"month_partitions", "quarter_partitions"}
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_plan(spark, name):
-    """No Python in the plan, no products of two sides, no hint that forces a broadcast."""
+    """No Python in the plan, no products of two sides."""
     execution = QUERIES[name].run(spark, SF_DIR)._jdf.queryExecution()
     plan = execution.executedPlan().toString()
     assert not re.search(r"PythonUDF|EvalPython|InPandas|InArrow", plan)
