@@ -240,7 +240,23 @@ def dataset_audit(spark, sf_dir):
     return lineage.audit_all({n: (table(spark, sf_dir, n), d) for n, d in audited.items()})
 
 
-@query()
+def _declared_values() -> str:
+    rows = []
+    for spec in (s for s in DATASETS.values() if s.schema is not None):
+        sources = 0
+        for f in spec.schema:
+            named = len(f.metadata.get("source_table", {})) + ("table_field" in f.metadata)
+            sources += max(1, named)
+        rows.append(f"('{spec.category}', '{spec.name}', {sources}, {len(spec.schema)})")
+    return ", ".join(rows)
+
+
+@query(f"""
+SELECT category, model, CAST(n_sources AS BIGINT) AS n_sources, CAST(n_fields AS BIGINT) AS n_fields
+FROM (VALUES {_declared_values()}) declared(category, model, n_sources, n_fields)
+UNION ALL SELECT 'Stored', 'orders', count(*), 6 FROM orders
+UNION ALL SELECT 'Stored', 'lineitem', count(*), 11 FROM lineitem
+""")
 def field_catalog(spark, sf_dir):
     """Declared fields of the datasets beside the audited size of the given tables."""
     declared = lineage.field_catalog(spark, [s for s in DATASETS.values() if s.schema is not None])
@@ -259,6 +275,32 @@ def field_catalog(spark, sf_dir):
     return fields.unionByName(loaded)
 
 
+@query("""
+WITH stored AS (
+  SELECT CAST(o_custkey AS STRING) AS instrument_code, CAST(o_orderdate AS DATE) AS trade_date,
+         o_totalprice AS amount FROM orders
+)
+SELECT instrument_code, arg_max(trade_date, trade_date) AS trade_date, count(*) AS n, max(amount) AS amount
+FROM stored GROUP BY 1
+""")
+def newest_first_read(spark, sf_dir):
+    """A read of every row, newest first, reshaped by the caller's function."""
+
+    def per_code(df):
+        return df.groupBy("instrument_code").agg(
+            F.max("trade_date").alias("trade_date"),
+            F.count(F.lit(1)).alias("n"),
+            F.max("amount").alias("amount"),
+        )
+
+    return datasets.filter_dataset(
+        _orders(spark, sf_dir),
+        columns=["instrument_code", "trade_date", "amount"],
+        newest_first=True,
+        transform=per_code,
+    )
+
+
 @query("""
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS N_ROWS,
        round(sum(l_extendedprice), 2) AS AMOUNT

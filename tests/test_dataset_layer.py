@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from folioflow.operators.filters import first_match, held_codes
 from folioflow.plans import BuildContext, run_dataset
 from folioflow.plans.build import dataset_path
 from folioflow.schemas import CATEGORIES, DATASETS
@@ -203,3 +204,21 @@ def test_missing_dates(spark):
                                    "dataset string, trade_date date")
     rows = ledger.missing_dates(calendar, loaded).collect()
     assert sorted((r["dataset"], r["trade_date"].day) for r in rows) == [("a", 4), ("a", 5)]
+
+
+def test_tables_from_a_folder_and_lookups(spark, tmp_path):
+    names = spark.createDataFrame(
+        [("A1", "first", "s"), ("A2", "second", "t")], "instrument_code string, instrument_name string, symbol string"
+    )
+    names.write.parquet(str(tmp_path / "NAMES"))
+    sources = tables.SourceTables(spark, tables.Location("parquet", path=str(tmp_path)))
+    stored = sources.load("NAMES")
+    assert first_match(stored, "instrument_name", instrument_code="A2") == "second"
+    assert first_match(stored, "instrument_code", instrument_name="first", symbol="s") == "A1"
+    assert first_match(stored, "instrument_code", instrument_name="none") is None
+    assert lineage.file_counts("NAMES", stored).agg(F.sum("n_rows")).first()[0] == 2
+    upper = tables.scan(stored, ["symbol"], F.col("symbol") == "s", upper_columns=True)
+    assert upper.columns == ["SYMBOL"] and upper.count() == 1
+    held = spark.createDataFrame([("A1", "BOND"), ("A2", "STOCK")], "instrument_code string, instrument_type string")
+    assert [r[0] for r in held_codes(held, "BOND").collect()] == ["A1"]
+    assert held_codes(held).count() == 2
