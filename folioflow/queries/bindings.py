@@ -270,7 +270,7 @@ SOURCES = {
     "INFO_FI_YC_CNBD_SAMPLE": f"""
         SELECT p_brand AS CURV_CODE, 'Curve ' || p_brand AS CURV_CNAME, 'P' || CAST(l_partkey AS STRING) AS BOND_CODE,
                {_DAY} AS TRD_DATE
-        FROM {_ITEMS} WHERE p_size > 48""",
+        FROM {_ITEMS} WHERE p_size > 25""",
     "PLATO_CFG_FACTOR": """
         SELECT 'F' || CAST(p_partkey AS STRING) AS ID, p_brand AS FACTOR_CODE, p_size % 3 AS FACTOR_TYPE
         FROM {part}""",
@@ -328,7 +328,7 @@ SOURCES = {
     "INFO_BARRA_FACTOR_RETURN_CNE5": _panel(_DAY, audited=True),
     "INFO_BARRA_FACTOR_RETURN_CNE6": _panel(_DAY),
     "PLATO_CS_PRD_ASSET_CLS_SYS": "SELECT p_brand AS CLS_TYPE, p_type AS CLS_CODE, p_type AS CLS_NAME FROM {part}",
-    "PLATO_CS_PRD_ASSET_CLS_SYS_TYPE": "SELECT DISTINCT p_brand AS CLS_TYPE_CODE FROM {part} WHERE p_size > 49",
+    "PLATO_CS_PRD_ASSET_CLS_SYS_TYPE": "SELECT DISTINCT p_brand AS CLS_TYPE_CODE FROM {part} WHERE p_size > 25",
     "PLATO_CS_PRD_ASSET_CLS_UD": """
         SELECT 'U' || CAST(c_nationkey AS STRING) AS CLS_TYPE_CODE, c_mktsegment AS CLS_CODE,
                c_mktsegment AS CLS_NAME FROM {customer}""",

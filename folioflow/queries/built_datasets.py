@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from folioflow.plans import BuildContext, build_dataset
 from folioflow.queries.bindings import bound_sources, with_sources
 from folioflow.queries.registry import FINE_NUDGE, NUDGE, query, rounded
-from folioflow.schemas import PANEL_TABLES
+from folioflow.schemas import DATASETS, PANEL_TABLES
 
 
 def dataset_query(name: str, sources: str, body: str, finish=None) -> None:
@@ -20,7 +20,9 @@ def dataset_query(name: str, sources: str, body: str, finish=None) -> None:
         rows = build_dataset(name, BuildContext(bound_sources(spark, sf_dir)))
         return finish(rows) if finish else rows
 
-    query(with_sources(sources, body), f"dataset_{label}")(run)
+    schema = DATASETS[name].schema
+    dates = [f.name for f in schema if isinstance(f.dataType, T.DateType)] if schema else ["trade_date"]
+    query(with_sources(sources, body), f"dataset_{label}", " ".join(dates))(run)
 
 
 def rounding(digits: int, *columns: str, nudge: float = 0.0):

@@ -41,7 +41,7 @@ SELECT CAST(o_custkey AS STRING) AS instrument_code, CAST(o_orderdate AS DATE) A
 FROM orders
 WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1999-01-01'
   AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-""")
+""", dates="trade_date")
 def dated_read(spark, sf_dir):
     building = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
     return datasets.filter_dataset(
@@ -107,13 +107,14 @@ def _upserted(spark, sf_dir, grain):
     return rounded(merged, 2, "amount")
 
 
-@query(_UPSERT_SQL.replace("%s", "strftime(trade_date, '%Y%m')"))
+@query(_UPSERT_SQL.replace("%s", "strftime(trade_date, '%Y%m')"), dates="first_day last_day")
 def month_partitions(spark, sf_dir):
     return _upserted(spark, sf_dir, "month")
 
 
 @query(
-    _UPSERT_SQL.replace("%s", "CAST(year(trade_date) AS STRING) || CAST(quarter(trade_date) AS STRING)")
+    _UPSERT_SQL.replace("%s", "CAST(year(trade_date) AS STRING) || CAST(quarter(trade_date) AS STRING)"),
+    dates="first_day last_day",
 )
 def quarter_partitions(spark, sf_dir):
     return _upserted(spark, sf_dir, "quarter")
@@ -129,7 +130,7 @@ FROM orders WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT trade_date FROM batch
 UNION ALL
 SELECT CAST(o_orderdate AS DATE), o_orderkey, -o_totalprice FROM orders
 WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
-""")
+""", dates="trade_date")
 def merge_by_date(spark, sf_dir):
     """The rule of the upsert without storage: dates of the batch are replaced as a whole."""
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", day("o_orderdate"))
@@ -169,7 +170,7 @@ WITH spans AS (
   FROM spans
 )
 SELECT o_custkey, greatest(a, m) AS piece_start, least(b, last_day(m)) AS piece_end FROM months
-""")
+""", dates="piece_start piece_end")
 def month_ranges(spark, sf_dir):
     spans = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.min(day("o_orderdate")).alias("a"), F.max(day("o_orderdate")).alias("b")
@@ -191,7 +192,7 @@ def _load_events(spark, sf_dir):
 SELECT o_orderpriority AS dataset, arg_max(o_orderstatus, struct_pack(d := o_orderdate, k := o_orderkey)) AS status,
        CAST(max(o_orderdate) AS DATE) AS business_date, count(*) AS n_events
 FROM orders GROUP BY 1
-""")
+""", dates="business_date")
 def load_ledger(spark, sf_dir):
     return ledger.latest_status(_load_events(spark, sf_dir), ("business_date", "event_id"))
 
@@ -206,7 +207,7 @@ FROM spans s JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS trade_date FROM
   ON c.trade_date BETWEEN s.a AND s.b
 LEFT JOIN loaded l ON l.dataset = s.dataset AND l.trade_date = c.trade_date
 WHERE l.dataset IS NULL
-""")
+""", dates="trade_date")
 def missing_load_dates(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
@@ -234,7 +235,7 @@ SELECT 'labels', count(*), NULL, NULL, 3 * count(*) - count(doc_id) - count(qual
 UNION ALL
 SELECT 'conversations', count(*), NULL, NULL, 4 * count(*) - count(conv_id) - count(turn) - count(role)
          - count(text), 4 FROM conversations
-""")
+""", dates="first_day last_day")
 def dataset_audit(spark, sf_dir):
     audited = {"orders": "o_orderdate", "events": "ts", "documents": None, "labels": None, "conversations": None}
     return lineage.audit_all({n: (table(spark, sf_dir, n), d) for n, d in audited.items()})
@@ -282,7 +283,7 @@ WITH stored AS (
 )
 SELECT instrument_code, arg_max(trade_date, trade_date) AS trade_date, count(*) AS n, max(amount) AS amount
 FROM stored GROUP BY 1
-""")
+""", dates="trade_date")
 def newest_first_read(spark, sf_dir):
     """A read of every row, newest first, reshaped by the caller's function."""
 
@@ -305,7 +306,7 @@ def newest_first_read(spark, sf_dir):
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS N_ROWS,
        round(sum(l_extendedprice), 2) AS AMOUNT
 FROM lineitem WHERE l_shipdate >= DATE '1996-01-01' AND l_quantity > 10 GROUP BY 1
-""")
+""", dates="month")
 def source_scan(spark, sf_dir):
     """One scan: predicates ANDed, a formatter applied, names turned to upper case."""
     wanted = tables.all_of(

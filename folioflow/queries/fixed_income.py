@@ -13,14 +13,14 @@ KNOTS_SQL = """
 knots AS (
   SELECT p_brand AS index, CAST(date_trunc('year', l_shipdate) AS DATE) AS trade_date,
          CAST(p_size AS DOUBLE) / 5.0e0 AS tenor, sum(l_extendedprice) / sum(l_quantity) / 1000.0e0 AS rate
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 2
+  FROM lineitem JOIN part ON l_partkey = p_partkey
   GROUP BY 1, 2, 3
 )"""
 
 
 def _knots(spark, sf_dir):
     """A brand's yearly mean price by size as a curve: size / 5 is the tenor."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 2)
+    items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     return items.join(parts, items["l_partkey"] == parts["p_partkey"]).groupBy(
         F.col("p_brand").alias("index"),
@@ -51,7 +51,7 @@ curve AS (
 )"""
 
 
-@query(f"WITH {GRID_SQL} SELECT index, trade_date, tenor, round(rate + {FINE_NUDGE:.12f}, 6) AS rate FROM curve")
+@query(f"WITH {GRID_SQL} SELECT index, trade_date, tenor, round(rate + {FINE_NUDGE:.12f}, 6) AS rate FROM curve", dates="trade_date")
 def curve_interpolate(spark, sf_dir):
     return rounded(curves.interpolate_curve(_knots(spark, sf_dir)), 6, "rate", nudge=FINE_NUDGE)
 
@@ -61,7 +61,7 @@ WITH {GRID_SQL}
 SELECT index, trade_date, CAST(tenor AS STRING) || 'Y' AS tenor, 'YIELD_CURVE' AS time_series_type,
        round(rate / 100.0e0 + {FINE_NUDGE:.12f}, 6) AS rate
 FROM curve
-""")
+""", dates="trade_date")
 def curve_series(spark, sf_dir):
     return rounded(curves.curve_series(_knots(spark, sf_dir)), 6, "rate", nudge=FINE_NUDGE)
 
@@ -115,7 +115,7 @@ WITH monthly AS (
 SELECT index, trade_date, 'ADJUSTED_PRICE' AS time_series_type, price AS rate, '' AS tenor FROM monthly
 UNION ALL
 SELECT index, trade_date, 'ADJUSTED_RETURN' AS time_series_type, low AS rate, '' AS tenor FROM monthly
-""")
+""", dates="trade_date")
 def series_stack(spark, sf_dir):
     monthly = table(spark, sf_dir, "orders").groupBy(
         F.col("o_custkey").alias("instrument_code"), month("o_orderdate").alias("trade_date")
@@ -186,7 +186,7 @@ WITH {RATES_SQL}
 SELECT r.index, r.index_name, r.trade_date, r.tenor, r.tenor2, round(r.rate, 8) AS rate,
        'cny' AS currency, 'DEPOSIT' AS instrument_type, k.curve_type
 FROM rates r LEFT JOIN kinds k ON r.index = k.index
-""")
+""", dates="trade_date")
 def rate_union(spark, sf_dir):
     return rounded(_rates(spark, sf_dir), 8, "rate")
 
@@ -215,7 +215,7 @@ SELECT index, trade_date,
        round(rate / 100.0e0, 8) AS rate, 'cny' AS currency, 'DEPOSIT' AS instrument_type,
        'IRS_CURVE' AS time_series_type
 FROM points WHERE index <> 'OTHER'
-""")
+""", dates="trade_date")
 def swap_series(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
@@ -394,7 +394,7 @@ SELECT k.issuer_code, k.report_type, k.trade_date, round(b.total_assets, 2) AS t
        i.net_return, c.ocf, d.roa
 FROM keys k LEFT JOIN balance b ON {_same("b")} LEFT JOIN income i ON {_same("i")}
 LEFT JOIN cash c ON {_same("c")} LEFT JOIN derived d ON {_same("d")}
-""")
+""", dates="trade_date")
 def statement_outer_join(spark, sf_dir):
     base = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("issuer_code"),

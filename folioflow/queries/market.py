@@ -99,7 +99,7 @@ WITH priced AS (
 SELECT l_orderkey, l_partkey, l_linenumber, trade_date, priced_on, round(price + {NUDGE}, 4) AS price
 FROM items i ASOF LEFT JOIN priced p
   ON i.instrument_code = p.instrument_code AND i.trade_date >= p.priced_on
-""")
+""", dates="trade_date priced_on")
 def asof_price(spark, sf_dir):
     items = _brand_items(spark, sf_dir)
     priced = items.groupBy("instrument_code", F.trunc("trade_date", "MM").alias("priced_on")).agg(
@@ -215,7 +215,7 @@ WITH prices AS (
 SELECT instrument_code, trade_date, round(price + {NUDGE}, 4) AS price, round(simple, 8) AS simple,
        round(ln(1 + simple), 8) AS log
 FROM changes
-""")
+""", dates="trade_date")
 def simple_log_returns(spark, sf_dir):
     prices = (
         _brand_items(spark, sf_dir)
@@ -284,7 +284,7 @@ WITH {ASSETS_SQL}
 SELECT instrument_code, trade_date, round(close, 2) AS close, round(close_adjusted + {NUDGE}, 4) AS close_adjusted,
        round(return_percentage, 8) AS return_percentage
 FROM computed
-""")
+""", dates="trade_date")
 def adjusted_nav(spark, sf_dir):
     computed = _computed_nav(spark, sf_dir).drop("net_cptl_inflow_amt", "quantity")
     computed = rounded(rounded(computed, 2, "close"), 4, "close_adjusted", nudge=NUDGE)
@@ -303,7 +303,7 @@ SELECT s.instrument_code, s.trade_date,
        round(coalesce(s.close_adjusted, c.close_adjusted) + {NUDGE}, 4) AS close_adjusted,
        round(CASE WHEN s.close_adjusted IS NULL THEN c.return_percentage END, 8) AS return_percentage
 FROM stored s LEFT JOIN computed c USING (instrument_code, trade_date)
-""")
+""", dates="trade_date")
 def fill_missing_nav(spark, sf_dir):
     known = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
     stored = table(spark, sf_dir, "orders").groupBy(
@@ -353,17 +353,17 @@ FROM based b LEFT JOIN ranked t ON t.rank = least(b.n_days, b.rank + %d)
 """
 
 
-@query(_SHIFT_BACK_SQL % 5)
+@query(_SHIFT_BACK_SQL % 5, dates="ship_date business_day")
 def business_day_prev(spark, sf_dir):
     return _shifted(spark, sf_dir, 5)
 
 
-@query(_SHIFT_ON_SQL % 3)
+@query(_SHIFT_ON_SQL % 3, dates="ship_date business_day")
 def business_day_next(spark, sf_dir):
     return _shifted(spark, sf_dir, -3)
 
 
-@query(_SHIFT_ON_SQL % 0)
+@query(_SHIFT_ON_SQL % 0, dates="ship_date business_day")
 def business_day_on_or_after(spark, sf_dir):
     return _shifted(spark, sf_dir, 0)
 
@@ -376,7 +376,7 @@ WITH days AS (
   FROM days WHERE calendar_date <= DATE '1998-12-31'
 )
 SELECT calendar_id, calendar_date, rank FROM ranked WHERE rank <= 253
-""")
+""", dates="calendar_date")
 def last_n_days(spark, sf_dir):
     import datetime
 
@@ -393,7 +393,7 @@ FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2, 3
 UNION ALL
 SELECT 'ALL' AS scope, o_orderpriority AS calendar_id, CAST(o_orderdate AS DATE) AS calendar_date
 FROM orders GROUP BY 1, 2, 3
-""")
+""", dates="calendar_date")
 def calendar_tagged_union(spark, sf_dir):
     days = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("calendar_id"), day("o_orderdate").alias("calendar_date")
@@ -407,7 +407,7 @@ SELECT p_brand AS calendar_id, CAST(l_shipdate AS DATE) AS calendar_date, count(
 FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE p_type = 'ECONOMY' AND l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '1998-01-01'
 GROUP BY 1, 2
-""")
+""", dates="calendar_date")
 def days_of_calendar(spark, sf_dir):
     import datetime
 

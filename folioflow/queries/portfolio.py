@@ -62,7 +62,7 @@ SELECT book_id, instrument_code, trade_date, round(unit_cost + {NUDGE}, 4) AS un
        round(prev_quantity, 4) AS prev_quantity,
        round(prev_market_value, 4) AS prev_market_value, round(prev_cost + {NUDGE}, 4) AS prev_cost
 FROM positions
-""")
+""", dates="trade_date")
 def consolidated_positions(spark, sf_dir):
     rows = rounded(held_positions(spark, sf_dir), 4, "unit_cost", "cost", "prev_cost", nudge=NUDGE)
     return rounded(
@@ -74,7 +74,7 @@ def consolidated_positions(spark, sf_dir):
 SELECT l_suppkey AS book_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date,
        round(sum(l_linenumber * l_extendedprice) / sum(l_extendedprice) + {NUDGE}, 4) AS remn_term
 FROM lineitem GROUP BY 1, 2
-""")
+""", dates="trade_date")
 def weighted_term(spark, sf_dir):
     repos = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("book_id"),
@@ -106,7 +106,7 @@ SELECT l_suppkey AS book_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS tr
                                             WHEN 'R' THEN -l_extendedprice END), 0), 4) AS trade_amount,
        round(sum(l_extendedprice * l_tax), 5) AS acr_int
 FROM lineitem GROUP BY 1, 2, 3
-""")
+""", dates="trade_date")
 def net_trades_signed(spark, sf_dir):
     net = trades.net_trades_signed(
         _trades(spark, sf_dir),
@@ -137,7 +137,7 @@ SELECT book_id, trade_date, instrument_code,
        round(coalesce(buy_quantity, 0) - coalesce(sell_quantity, 0), 4) AS notional,
        round(coalesce(buy_amount, 0), 4) AS buy_amount, round(coalesce(sell_amount, 0), 4) AS sell_amount
 FROM bought FULL JOIN sold USING (book_id, trade_date, instrument_code)
-""")
+""", dates="trade_date")
 def net_trades_buy_sell(spark, sf_dir):
     net = trades.net_trades_buy_sell(
         _trades(spark, sf_dir),
@@ -160,7 +160,7 @@ SELECT book_id, trade_date, instrument_code,
        round(coalesce(cost - prev_cost, 0) + {NUDGE}, 4) AS settlement_amount,
        CAST(0 AS DOUBLE) AS trading_fee
 FROM positions
-""")
+""", dates="trade_date")
 def implied_trades(spark, sf_dir):
     changes = positions.bond_position_changes(held_positions(spark, sf_dir))
     changes = rounded(changes, 4, "trade_amount", "settlement_amount", nudge=NUDGE)
@@ -174,7 +174,7 @@ SELECT book_id, trade_date, instrument_code, round(quantity - prev_quantity, 4)
        round(CASE WHEN cost - prev_cost < 0 THEN cost - prev_cost ELSE 0 END + {NUDGE}, 4) AS sell_amount,
        CAST(0 AS DOUBLE) AS trading_fee
 FROM positions
-""")
+""", dates="trade_date")
 def implied_trades_buy_sell(spark, sf_dir):
     changes = positions.stock_position_changes(held_positions(spark, sf_dir))
     changes = rounded(changes, 4, "buy_amount", "sell_amount", nudge=NUDGE)
@@ -231,7 +231,7 @@ def ownership(spark, sf_dir):
 @query(f"""
 WITH RECURSIVE {PAIRS_SQL}
 SELECT root_book_id, children_book_id, trade_date, round(invest_rate, 9) AS invest_rate FROM pairs
-""")
+""", dates="trade_date")
 def look_through(spark, sf_dir):
     return rounded(graph.look_through(ownership(spark, sf_dir)), 9, "invest_rate")
 
@@ -261,7 +261,7 @@ SELECT book_id, trade_date, instrument_code, count(*) AS n_rows,
        count(prev_quantity) AS n_previous
 FROM lagged LEFT JOIN terms USING (book_id, trade_date, instrument_code)
 GROUP BY 1, 2, 3
-""")
+""", dates="trade_date")
 def look_through_positions(spark, sf_dir):
     detail = position_detail(spark, sf_dir)
     terms = positions.weighted_term(
@@ -377,7 +377,7 @@ SELECT s.o_orderkey, s.currency, s.trade_date,
 FROM spent s
 LEFT JOIN factors f ON s.trade_date = f.trade_date AND s.currency = f.currency
 LEFT JOIN factors t ON s.trade_date = t.trade_date AND t.currency = 'HKD'
-""")
+""", dates="trade_date")
 def fx_convert_by_day(spark, sf_dir):
     spent = spending(spark, sf_dir)
     rates = fx.first_rates(yearly_quotes(spent))
@@ -414,7 +414,7 @@ WITH {QUOTES_SQL}
 SELECT trade_date, string_agg(fx_code || '=' || CAST(CAST(round(exch_rate * 1000000) AS BIGINT) AS STRING), ';'
                               ORDER BY fx_code) AS rates
 FROM quotes GROUP BY trade_date
-""")
+""", dates="trade_date")
 def fx_rate_map(spark, sf_dir):
     maps = fx.rate_map(fx.first_rates(yearly_quotes(spending(spark, sf_dir))))
     entry = F.transform(

@@ -50,7 +50,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, strftime(l_shipdate, '%Y%m%d') AS da
        CASE WHEN l_discount <> 0 THEN round(l_quantity / l_discount, 4) END AS ratio,
        l_returnflag = 'R' AS held
 FROM lineitem
-""")
+""", dates="month_start month_end parsed")
 def column_expressions(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").withColumn("d", day("l_shipdate"))
     rows = items.select(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from folioflow.functions.dates import date_text
+
 @dataclass(frozen=True)
 class Query:
     run: Callable[[SparkSession, str], DataFrame]
@@ -16,11 +18,26 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
-    """Register a query under its function name, with its SQL twin if it has one."""
+def _edge_sql(sql: str, dates: list[str]) -> str:
+    """The SQL with its date columns as `yyyyMMdd` text."""
+    formatted = ", ".join(f"strftime({d}, '%Y%m%d') AS {d}" for d in dates)
+    return f"SELECT * REPLACE ({formatted}) FROM ({sql.strip()})"
+
+
+def query(sql: str | None = None, name: str | None = None, dates: str = ""):
+    """Register a query under its function name, with its SQL twin if it has one.
+
+    `dates` names the date columns of the result, which leave the engine as `yyyyMMdd` text.
+    """
+    columns = dates.split()
 
     def register(function):
-        QUERIES[name or function.__name__] = Query(function, sql)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            rows = function(spark, sf_dir)
+            return rows.withColumns({c: date_text(c) for c in columns}) if columns else rows
+
+        twin = _edge_sql(sql, columns) if sql and columns else sql
+        QUERIES[name or function.__name__] = Query(run, twin)
         return function
 
     return register
