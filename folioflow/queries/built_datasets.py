@@ -6,9 +6,10 @@ import re
 
 from pyspark.sql import functions as F, types as T
 
+from folioflow.operators import classes
 from folioflow.plans import BuildContext, build_dataset
 from folioflow.queries.bindings import bound_sources, with_sources
-from folioflow.queries.registry import FINE_NUDGE, NUDGE, query, rounded
+from folioflow.queries.registry import FINE_NUDGE, NUDGE, day, query, rounded, table
 from folioflow.schemas import DATASETS, PANEL_TABLES
 
 
@@ -698,3 +699,43 @@ UNION ALL
 SELECT trade_date, scene_id, index, factor_type, factor_name, modification_type, NULL, v
 FROM moves WHERE factor_type <> 2""",
 )
+
+
+def _rated_sql(ratings: str, code: str, key: str, where: str, bucket: str) -> str:
+    return with_sources(ratings, f""",
+latest AS (
+  SELECT {code} AS code, ANC_DATE AS day,
+         arg_max(CREDIT_RAT, struct_pack(o := RAT_ORG, r := CREDIT_RAT)) AS rating
+  FROM {ratings} {where} GROUP BY 1, 2
+), held AS (
+  SELECT event_id, '{key}' || CAST(user_id AS STRING) AS code, CAST(ts AS DATE) AS day FROM events
+)
+SELECT event_id, held.code, held.day, rating{bucket}
+FROM held ASOF LEFT JOIN latest ON held.code = latest.code AND held.day >= latest.day""")
+
+
+def _held(spark, sf_dir, key, name):
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit(key), F.col("user_id").cast("string")).alias(name), day("ts").alias("trade_date")
+    )
+
+
+@query(
+    _rated_sql(
+        "INFO_FI_BONDRATING", "BOND_CODE", "P",
+        "WHERE RAT_ORG IN ('002', '003', '004', '005', '006', '034', '013', '014', '019')",
+        ", CASE WHEN rating IS NOT NULL THEN 'AA' END AS rating_type",
+    ),
+    dates="day",
+)
+def rate_instruments(spark, sf_dir):
+    ratings = build_dataset("InstrumentRating", BuildContext(bound_sources(spark, sf_dir)))
+    rated = classes.rate_instruments(_held(spark, sf_dir, "P", "instrument_code"), ratings)
+    return rated.withColumnsRenamed({"instrument_code": "code", "trade_date": "day"})
+
+
+@query(_rated_sql("INFO_PARTY_RATING", "PARTY_CODE", "I", "", ""), dates="day")
+def rate_issuers(spark, sf_dir):
+    ratings = build_dataset("IssuerRating", BuildContext(bound_sources(spark, sf_dir)))
+    rated = classes.rate_issuers(_held(spark, sf_dir, "I", "issuer_code"), ratings)
+    return rated.withColumnsRenamed({"issuer_code": "code", "trade_date": "day"})
