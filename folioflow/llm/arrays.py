@@ -59,3 +59,84 @@ def substring_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np
     """Hashes of raw[start:end]: equal bytes have equal hashes wherever they stand."""
     _, down = powers(len(prefix))
     return mixed((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+_BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
+
+
+@lru_cache(1)
+def _is_blank() -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(_BLANKS)] = True
+    return out
+
+
+@lru_cache(1)
+def _lower() -> np.ndarray:
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32
+    return out
+
+
+def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every word: bytes without blanks, never across texts."""
+    if not len(raw):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    blank = _is_blank()[raw]
+    before = np.r_[True, blank[:-1]]
+    inner = offsets[:-1][offsets[:-1] < len(raw)]
+    before[inner] = True
+    after = np.r_[blank[1:], True]
+    after[inner[inner > 0] - 1] = True
+    start = np.flatnonzero(~blank & before)
+    end = np.flatnonzero(~blank & after) + 1
+    return start, end, np.searchsorted(offsets, start, "right") - 1
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word, A-Z lower-cased."""
+    start, end, text = word_spans(raw, offsets)
+    return substring_hash(prefix_hash(_lower()[raw]), start, end), text
+
+
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set of `size`-word shingles of every text as sorted hashes, flat, and the set sizes.
+
+    A text of fewer words has one shingle, its whole sequence of words; one without words none.
+    """
+    words, text = word_hashes(raw, offsets)
+    n_texts = len(offsets) - 1
+    counts = np.bincount(text, minlength=n_texts)
+    first = run_starts(counts)
+    shingles = np.maximum(counts - size + 1, counts > 0).astype(np.int64)
+    owner = np.repeat(np.arange(n_texts), shingles)
+    at = spread(first, shingles)
+    length = np.minimum(counts, size)[owner]
+    hashed = length.astype(np.uint64)
+    for i in range(size):
+        inside = i < length
+        word = words[np.minimum(at + i, max(len(words) - 1, 0))] if len(words) else words
+        hashed = np.where(inside, mixed(hashed * np.uint64(0x9E3779B97F4A7C15) + word), hashed)
+    order = np.lexsort((hashed, owner))
+    hashed, owner = hashed[order], owner[order]
+    fresh = np.ones(len(hashed), bool)
+    fresh[1:] = (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1])
+    return hashed[fresh], np.bincount(owner[fresh], minlength=n_texts)
+
+
+def classes_of(n: int, left: np.ndarray, right: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
+    """Smallest member of the class of each of 0..n-1 under the links left[i]-right[i]."""
+    root = np.arange(n) if parent is None else parent.copy()
+    while len(left):
+        a, b = root[left], root[right]
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        open_ = low != high
+        left, right, low, high = left[open_], right[open_], low[open_], high[open_]
+        np.minimum.at(root, high, low)
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root = up
+    return root

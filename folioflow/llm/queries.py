@@ -5,6 +5,7 @@ from __future__ import annotations
 from folioflow.llm.exact_topk import OP1_SQL, op1_exact_topk
 from folioflow.llm.language_id import op10_language_id
 from folioflow.llm.merge_dropout import op3_merge_dropout
+from folioflow.llm.ngram_join import op5_ngram_jaccard_join
 from folioflow.llm.sharding import op9_hash_tree_sharding, op9_sql
 from folioflow.llm.suffix_dedup import op4_suffix_dedup
 from folioflow.llm.token_files import op2_token_arrow_files
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_token_arrow_files": op2_token_arrow_files,
     "op3_merge_dropout": op3_merge_dropout,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
 }
