@@ -48,13 +48,22 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(raw: np.ndarray) -> np.ndarray:
-    """Sums from which the hash of any substring follows: see `substring_hash`."""
+    """Sums from which the hash of any substring follows: see `substring_hash`. Takes bytes or
+    code points."""
     up, _ = powers(len(raw) + 1)
+    codes = byte_codes()[raw] if raw.dtype == np.uint8 else mixed(raw.astype(np.uint64) + np.uint64(1))
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(byte_codes()[raw] * up[: len(raw)], out=out[1:])
+    np.cumsum(codes * up[: len(raw)], out=out[1:])
     return out
 
 
+def code_points(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 texts as code points, and the offsets of the texts among them."""
+    chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+    lead = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+    return chars, lead[offsets]
+
+
 def substring_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of raw[start:end]: equal bytes have equal hashes wherever they stand."""
     _, down = powers(len(prefix))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folioflow.llm.exact_topk import OP1_SQL, op1_exact_topk
 from folioflow.llm.language_id import op10_language_id
+from folioflow.llm.line_dedup import op7_line_dedup
 from folioflow.llm.merge_dropout import op3_merge_dropout
 from folioflow.llm.ngram_join import op5_ngram_jaccard_join
 from folioflow.llm.sharding import op9_hash_tree_sharding, op9_sql
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_merge_dropout": op3_merge_dropout,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
 }
