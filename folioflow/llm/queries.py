@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from folioflow.llm.decontaminate import op8_benchmark_decontamination
 from folioflow.llm.exact_topk import OP1_SQL, op1_exact_topk
+from folioflow.llm.html_text import op6_html_text
 from folioflow.llm.language_id import op10_language_id
 from folioflow.llm.line_dedup import op7_line_dedup
 from folioflow.llm.merge_dropout import op3_merge_dropout
@@ -17,7 +19,9 @@ QUERIES = {
     "op3_merge_dropout": op3_merge_dropout,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_html_text": op6_html_text,
     "op7_line_dedup": op7_line_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
 }
