@@ -4,25 +4,28 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from folioflow.llm.common import shared_folder, table, texts
+from folioflow.llm.arrays import run_starts, spread
+from folioflow.llm.common import shared_folder, slices, table, texts
 
 SEQUENCE = 2048
-#: Sequences per record batch: 1024 * 2048 ids of four bytes are 8 MB.
+#: Sequences per record batch: 1024 * 2048 ids of two bytes are 4 MB.
 BATCH_SEQUENCES = 1024
 #: Documents per file aimed at; files are written by one task each.
 FILE_DOCUMENTS = 20_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker keeps; the store is emptied when it is full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 
 _INDEX = pa.schema(
     [
@@ -41,7 +44,7 @@ class WordEncoder:
 
     The tokenizer drops white space before its merges, so no token reaches over a blank or a
     line end and the ids of a text are those of its words in order. Each different word goes
-    to the library once per worker.
+    to the library once per worker, as long as the store holds it.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,19 +52,44 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
+        self.size = self.tokenizer.get_vocab_size()
+        self._empty()
 
-    def encode(self, text: str) -> np.ndarray:
-        words = [w for line in text.split("\n") for w in line.split(" ") if w]
-        if not words:
-            return np.zeros(0, np.uint32)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32)
-        return np.concatenate(list(map(self.known.__getitem__, words)))
+    def _empty(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        self.lengths = np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encode the words that were numbered since the last call."""
+        new = list(islice(reversed(self.number), len(self.number) - len(self.lengths)))[::-1]
+        if not new:
+            return
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(lengths.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + total))
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.used += total
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = run_starts(self.lengths)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, flat, and their counts."""
+        if len(self.number) > CACHE_WORDS:
+            self._empty()
+        words = [text.replace("\n", " ").split(" ") for text in texts]
+        per_text = np.fromiter(map(len, words), np.int64, len(words))
+        total = int(per_text.sum())
+        which = np.fromiter(map(self.number.__getitem__, chain.from_iterable(words)), np.int64, total)
+        self._learn()
+        lengths = self.lengths[which]
+        ids = self.ids[spread(self.starts[which], lengths)]
+        ends = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(per_text)]]
+        return ids, np.diff(ends)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -77,31 +105,39 @@ def word_encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def file_schema(sequence: int) -> pa.Schema:
+def id_type(vocabulary: int) -> np.dtype:
+    """The smallest unsigned type of two bytes or more that holds every id."""
+    return np.dtype(np.uint16 if vocabulary <= 1 << 16 else np.uint32)
+
+
+def file_schema(sequence: int, kind: np.dtype) -> pa.Schema:
+    """Ids as integers, masks as bits."""
     return pa.schema(
         [
-            ("input_ids", pa.list_(pa.field("item", pa.uint32(), False), sequence)),
-            ("attention_mask", pa.list_(pa.field("item", pa.uint8(), False), sequence)),
+            ("input_ids", pa.list_(pa.field("item", pa.from_numpy_dtype(kind), False), sequence)),
+            ("attention_mask", pa.list_(pa.field("item", pa.bool_(), False), sequence)),
         ]
     )
 
 
 class TokenFileWriter:
-    """Appends ids to one file; the last sequence is padded with 0 under mask 0.
+    """Appends ids to one file; the last sequence is padded with 0 under a false mask.
 
     It holds one record batch, so memory does not depend on the file or on a document.
     """
 
-    def __init__(self, sink, sequence: int = SEQUENCE, batch_sequences: int = BATCH_SEQUENCES) -> None:
+    def __init__(
+        self, sink, vocabulary: int, sequence: int = SEQUENCE, batch_sequences: int = BATCH_SEQUENCES
+    ) -> None:
         self.sequence = sequence
-        self.schema = file_schema(sequence)
+        self.schema = file_schema(sequence, id_type(vocabulary))
         self.writer = pa.ipc.new_file(sink, self.schema)
-        self.buffer = np.zeros(sequence * batch_sequences, np.uint32)
+        self.buffer = np.zeros(sequence * batch_sequences, id_type(vocabulary))
         self.used = 0
         self.total = 0
 
     def append(self, ids: np.ndarray) -> int:
-        """Add a document's ids; returns where they start in the file."""
+        """Add ids of documents; returns where they start in the file."""
         start = self.total
         self.total += len(ids)
         while len(ids):
@@ -117,10 +153,9 @@ class TokenFileWriter:
         if not self.used:
             return
         rows = -(-self.used // self.sequence)
-        ids = np.zeros(rows * self.sequence, np.uint32)
+        ids = np.zeros(rows * self.sequence, self.buffer.dtype)
         ids[: self.used] = self.buffer[: self.used]
-        mask = np.zeros(rows * self.sequence, np.uint8)
-        mask[: self.used] = 1
+        mask = np.arange(rows * self.sequence) < self.used
         columns = [
             pa.FixedSizeListArray.from_arrays(pa.array(v), type=f.type)
             for v, f in zip((ids, mask), self.schema)
@@ -147,22 +182,24 @@ class TokenFile:
             self._at = (k, self.reader.get_batch(k))
         return self._at[1]
 
-    def _values(self, k: int, name: str) -> np.ndarray:
-        column = self._batch(k).column(name)
-        return column.values.to_numpy(zero_copy_only=True)[column.offset * self.sequence :]
+    def _ids(self, k: int) -> np.ndarray:
+        return self._batch(k).column("input_ids").values.to_numpy(zero_copy_only=True)
 
-    def row(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one sequence."""
+    def row(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of one sequence, as views."""
         k, i = divmod(number, self.batch_sequences)
-        cut = slice(i * self.sequence, (i + 1) * self.sequence)
-        return self._values(k, "input_ids")[cut], self._values(k, "attention_mask")[cut]
+        mask = self._batch(k).column("attention_mask").values
+        return (
+            self._ids(k)[i * self.sequence : (i + 1) * self.sequence],
+            mask.slice(i * self.sequence, self.sequence),
+        )
 
     def pieces(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from position `start` on, as views of the batches they lie in."""
         size = self.batch_sequences * self.sequence
         while n > 0:
             k, i = divmod(start, size)
-            part = self._values(k, "input_ids")[i : min(i + n, size)]
+            part = self._ids(k)[i : min(i + n, size)]
             yield part
             start, n = start + len(part), n - len(part)
 
@@ -193,7 +230,7 @@ def _uri(folder: str) -> str:
 
 def write_token_files(
     docs: DataFrame,
-    encode_with: Callable[[], Callable[[str], np.ndarray]],
+    load_encoder: Callable[[], WordEncoder],
     folder: str,
     end_id: int = END_ID,
     sequence: int = SEQUENCE,
@@ -209,7 +246,8 @@ def write_token_files(
 
     Defined cases: a null text is the empty one, whose document is the end id alone; null ids
     come first; rows with the same id follow each other in the order of their texts; an empty
-    table gives an index without rows. The last sequence of a file is padded with mask 0.
+    table gives an index without rows. The last sequence of a file is padded under a
+    false mask.
     """
     spark = docs.sparkSession
     root = _uri(folder)
@@ -220,31 +258,30 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encode_with()
+        encoder = load_encoder()
         writer = sink = None
         name = ""
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            starts, sizes = [], []
-            for text in batch.column("text"):
+            for first, last, _, _ in slices(batch):
+                part = batch.slice(first, last - first)
                 if writer is None:
                     name = f"tokens-{uuid.uuid4().hex}.arrow"
                     sink = _open(f"{root}/{name}", create=True)
-                    writer = TokenFileWriter(sink, sequence, batch_sequences)
-                ids = np.concatenate([encode(text.as_py()), end])
-                starts.append(writer.append(ids))
-                sizes.append(len(ids))
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("_id"),
-                    pa.array([name] * n, pa.string()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                ],
-                schema=_INDEX,
-            )
+                    writer = TokenFileWriter(sink, encoder.size, sequence, batch_sequences)
+                ids, counts = encoder.encode(part.column("text").to_pylist())
+                ends = np.cumsum(counts)
+                # The end id goes behind each document.
+                starts = writer.append(np.insert(ids, ends, end_id)) + np.r_[0, (ends + np.arange(1, len(ends) + 1))[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("_id"),
+                        pa.array([name] * len(counts), pa.string()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(counts + 1, pa.int64()),
+                    ],
+                    schema=_INDEX,
+                )
         if writer is not None:
             writer.close()
             sink.close()
@@ -306,7 +343,7 @@ def op2_token_arrow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     data = write_token_files(
         table(spark, sf_dir, "documents"),
-        lambda: word_encoder(path).encode,
+        lambda: word_encoder(path),
         shared_folder(spark, "tokens"),
     )
     return read_documents(data)
