@@ -22,10 +22,13 @@ from folioflow.llm.linking import (
     packed_postings,
     solve_groups,
 )
+from folioflow.operators.sizes import broadcast_if_small
 
 #: Distinct sets, and shingles of them, that meet in one task.
 GROUP_SETS = 4096
 GROUP_SHINGLES = 4_000_000
+#: Wanted sets up to this number are looked up in memory, more by a shuffle.
+BROADCAST_SETS = 500_000
 #: Rows of one block of the product, and blocks of columns between two looks at the bounds.
 BLOCK_ROWS = 64
 COLUMN_BLOCKS = 4
@@ -251,8 +254,9 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     )
     chosen = stage(chosen.select("item", "_row.*", "weight", "component"), "ngram-members")
     met = groups_of(chosen, GROUP_SETS, GROUP_SHINGLES)
+    wanted = broadcast_if_small(chosen.select(*ROW, "item"), BROADCAST_SETS)
     sets = (
-        rows.join(chosen.select(*ROW, "item"), ROW)
+        rows.join(wanted, ROW)
         .select("item", "text")
         .mapInArrow(payloads, "item long, payload binary")
         .dropDuplicates(["item"])
