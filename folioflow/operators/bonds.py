@@ -24,7 +24,7 @@ def outstanding_principal(
     day: str = "trade_date",
     principal: str = "cash_amt_aft",
     default: float = FULL_PRINCIPAL,
-    max_group_rows: int | None = None,
+    sliced: bool = False,
 ) -> DataFrame:
     """Principal left after the last payment on or before the day; `default` before any.
 
@@ -32,7 +32,7 @@ def outstanding_principal(
     """
     paid = cashflow.where(F.col(principal).isNotNull())
     rows = asof_join(
-        valuation, paid, [code], day, day, [principal], tie_break=[principal], max_group_rows=max_group_rows
+        valuation, paid, [code], day, day, [principal], tie_break=[principal], sliced=sliced
     )
     return rows.fillna(default, [principal])
 

@@ -57,7 +57,7 @@ def business_day_shift(
         day,
         {"rank": "_rank", "n_days": "_n_days"},
         direction="backward" if n > 0 else "forward",
-        max_group_rows=None,
+        sliced=False,
     ).where(F.col("_rank").isNotNull())
     wanted = base.withColumn(
         "_rank", F.greatest(F.lit(1), F.least(F.col("_n_days"), F.col("_rank") - F.lit(n)))

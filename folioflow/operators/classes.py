@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from folioflow.functions.labels import rating_bucket
-from folioflow.operators.ordered import MAX_GROUP_ROWS, asof_join
+from folioflow.operators.ordered import asof_join
 from folioflow.operators.reshape import union_distinct
 
 
 def classify(
-    df: DataFrame, history: DataFrame, system: str, max_group_rows: int | None = MAX_GROUP_ROWS
+    df: DataFrame, history: DataFrame, system: str, sliced: bool = True
 ) -> DataFrame:
     """Sector of each row's issuer on its day, in one classification system."""
     of_system = history.where(F.col("industry_code") == system)
@@ -24,26 +24,26 @@ def classify(
         "trade_date",
         ["sector_code"],
         tie_break=["sector_code"],
-        max_group_rows=max_group_rows,
+        sliced=sliced,
     )
 
 
 def rate_instruments(
-    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = MAX_GROUP_ROWS
+    df: DataFrame, ratings: DataFrame, sliced: bool = True
 ) -> DataFrame:
     """Latest rating of each instrument on its day, and the bucket of that rating."""
-    rated = _latest_rating(df, ratings, "instrument_code", max_group_rows)
+    rated = _latest_rating(df, ratings, "instrument_code", sliced)
     return rated.withColumn("rating_type", rating_bucket("rating"))
 
 
 def rate_issuers(
-    df: DataFrame, ratings: DataFrame, max_group_rows: int | None = MAX_GROUP_ROWS
+    df: DataFrame, ratings: DataFrame, sliced: bool = True
 ) -> DataFrame:
     """Latest rating of each issuer on its day."""
-    return _latest_rating(df, ratings, "issuer_code", max_group_rows)
+    return _latest_rating(df, ratings, "issuer_code", sliced)
 
 
-def _latest_rating(df, ratings, code, max_group_rows) -> DataFrame:
+def _latest_rating(df, ratings, code, sliced) -> DataFrame:
     return asof_join(
         df,
         ratings,
@@ -52,7 +52,7 @@ def _latest_rating(df, ratings, code, max_group_rows) -> DataFrame:
         "trade_date",
         ["rating"],
         tie_break=["rating_organization", "rating"],
-        max_group_rows=max_group_rows,
+        sliced=sliced,
     )
 
 

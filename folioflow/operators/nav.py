@@ -76,12 +76,13 @@ def returns(
     order: tuple[str, ...] = ("trade_date",),
     simple: str = "return_percentage_adjusted",
     log: str = "return_percentage_adjusted_log",
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
-    """Simple and log return. The previous price is a column, or that of the row before (one
-    row per instrument and day, so the window is bounded by the calendar)."""
+    """Simple and log return. The previous price is a column, or that of the row before; the
+    first row here looks back to the last of `earlier`."""
     rows = quotes
     if previous is None:
-        rows = previous_row(rows, by, order, {price: "_previous"}, max_group_rows=None)
+        rows = previous_row(rows, by, order, {price: "_previous"}, earlier=earlier)
     change = simple_return(price, previous or "_previous")
     rows = rows.withColumn(simple, change)
     return rows.withColumn(log, log_return(simple)).drop("_previous")

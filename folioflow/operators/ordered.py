@@ -1,90 +1,46 @@
 """Ordered operators per key: previous row, fills, as-of joins.
 
-A window puts all rows of one key into one task. Where the grain bounds a key (one row per
-instrument and day) that is right, and callers pass `max_group_rows=None`. Elsewhere the
-operator measures the largest key first. If a key is over the limit, its rows are cut into
-slices of about equal size along the order column, and each slice starts with one extra row
-that carries what the earlier slices leave behind. The result is the same row for row; only
-the unit of work is smaller.
+A window puts all rows of one key into one task. So the rows of a key are cut into slices by a
+bucket of the order value, months for days and times, and each slice starts with one extra row
+that carries what the earlier slices leave behind. Buckets never decrease with the order value,
+so the result is that of the plain window, row for row, whatever the sizes; nothing is counted
+beforehand. Carried values are found per slice by an aggregate, combined before the shuffle, and
+handed on along the few slices of a key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MAX_GROUP_ROWS = 5_000_000
-MAX_SLICES = 2048
-BROADCAST_KEYS = 100_000
-
 _SLICE = "_slice"
-_HOT = "_hot"
 _CARRY = "_carry"
 
 
-@dataclass(frozen=True)
-class Slices:
-    """Keys over the limit and the cut points of the order column among their rows."""
-
-    hot_keys: DataFrame
-    n_hot: int
-    bounds: tuple[float, ...]
-
-
-def _position(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
-
-
-def plan_slices(df: DataFrame, by: Sequence[str], order: str, max_group_rows: int) -> Slices | None:
-    """None when every key fits. The count is pre-aggregated and reads only the key columns;
-    the number of keys over the limit is at most rows / limit."""
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_group_rows)
-    size = hot.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("top")).first()
-    if not size["n"]:
-        return None
-    pieces = min(MAX_SLICES, math.ceil(2 * size["top"] / max_group_rows))
-    cuts = [i / pieces for i in range(1, pieces)]
-    hot_rows = df.join(hot, _same_key(df, hot, by), "left_semi")
-    found = hot_rows.agg(
-        F.percentile_approx(_position(hot_rows, order), cuts, 10 * MAX_SLICES).alias("cuts")
-    ).first()["cuts"]
-    bounds = tuple(sorted(set(found or [])))
-    return Slices(hot.select(*by), size["n"], bounds) if bounds else None
-
-
-def _same_key(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in by])
+def slice_of(df: DataFrame, order: str) -> Column:
+    """A bucket that never decreases along the order column, in the column's own order.
 
-
-def _with_slices(df: DataFrame, by: Sequence[str], order: str, slices: Slices) -> DataFrame:
-    keys = slices.hot_keys.select(
-        *[F.col(c).alias(f"_key{i}") for i, c in enumerate(by)], F.lit(True).alias(_HOT)
-    )
-    if slices.n_hot <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(by)]
-    )
-    tagged = df.join(keys, same, "left").drop(*[f"_key{i}" for i in range(len(by))])
-    tagged = tagged.withColumn(
-        "_position", F.coalesce(_position(df, order), F.lit(-math.inf))
-    )
-    cut = Bucketizer(
-        splits=[-math.inf, *slices.bounds, math.inf], inputCol="_position", outputCol="_cut"
-    ).transform(tagged)
-    return cut.withColumn(
-        _SLICE, F.when(F.col(_HOT), F.col("_cut").cast("int")).otherwise(F.lit(0))
-    ).drop("_position", "_cut")
+    Months of days and times, the first two characters of texts, the magnitude of numbers (to a
+    sixteenth of a power of two; NaN above all numbers). Null is below everything. Values of
+    other types are one slice.
+    """
+    kind = df.schema[order].dataType
+    value = F.col(order)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        bucket = F.year(value) * 12 + F.month(value)
+    elif isinstance(kind, T.StringType):
+        return F.struct(value.isNotNull(), F.coalesce(F.substring(value, 1, 2), F.lit("")))
+    elif isinstance(kind, T.NumericType):
+        number = value.cast("double")
+        steps = F.least(F.floor(F.log2(F.lit(1.0) + F.abs(number)) * 16), F.lit(1 << 20))
+        bucket = F.when(F.isnan(number), F.lit(1 << 40)).otherwise(
+            F.when(number < 0, -steps - 1).otherwise(steps)
+        )
+    else:
+        return F.lit(0)
+    return F.when(value.isNull(), F.lit(-(1 << 40))).otherwise(bucket.cast("long"))
 
 
 def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
@@ -92,13 +48,11 @@ def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
 
 
 def _with_carry_rows(df, by, order, values, descending) -> DataFrame:
-    """Add, per hot key and slice, the last non-null of each value in the slices before it."""
+    """Add, per key and slice, the last non-null of each value in the slices before it."""
     place = F.struct(*order)
     pick = F.min_by if descending else F.max_by
-    tails = (
-        df.where(F.col(_HOT))
-        .groupBy(*by, _SLICE)
-        .agg(*[pick(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(c) for c in values])
+    tails = df.groupBy(*by, _SLICE).agg(
+        *[pick(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(c) for c in values]
     )
     before = (
         Window.partitionBy(*by)
@@ -114,19 +68,15 @@ def _with_carry_rows(df, by, order, values, descending) -> DataFrame:
     return df.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
 
 
-def _over_keys(df, by, order, values, outputs, make, descending, max_group_rows) -> DataFrame:
-    """Apply `make(value column, window)` per key in order, sliced if a key is too large."""
-    slices = None
-    if max_group_rows is not None:
-        slices = plan_slices(df, by, order[0], max_group_rows)
-    if slices is None:
+def _over_keys(df, by, order, values, outputs, make, descending, sliced) -> DataFrame:
+    """Apply `make(value column, window)` per key in order, slice by slice."""
+    if not sliced:
         w = Window.partitionBy(*by).orderBy(*_sorted(order, descending))
         return df.withColumns({out: make(c, w) for c, out in zip(values, outputs)})
-    cut = _with_slices(df, by, order[0], slices)
-    full = _with_carry_rows(cut, by, order, values, descending)
+    full = _with_carry_rows(df.withColumn(_SLICE, slice_of(df, order[0])), by, order, values, descending)
     w = Window.partitionBy(*by, _SLICE).orderBy(F.desc(_CARRY), *_sorted(order, descending))
     done = full.withColumns({out: make(c, w) for c, out in zip(values, outputs)})
-    return done.where(~F.col(_CARRY)).drop(_CARRY, _SLICE, _HOT)
+    return done.where(~F.col(_CARRY)).drop(_CARRY, _SLICE)
 
 
 def _last_known(name: str, window) -> Column:
@@ -140,10 +90,10 @@ def fill_forward(
     by: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    sliced: bool = True,
 ) -> DataFrame:
     """Replace nulls by the last known value of the key."""
-    return _over_keys(df, by, order, columns, columns, _last_known, False, max_group_rows)
+    return _over_keys(df, by, order, columns, columns, _last_known, False, sliced)
 
 
 def fill_backward(
@@ -151,10 +101,10 @@ def fill_backward(
     by: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    sliced: bool = True,
 ) -> DataFrame:
     """Replace nulls by the next known value of the key."""
-    return _over_keys(df, by, order, columns, columns, _last_known, True, max_group_rows)
+    return _over_keys(df, by, order, columns, columns, _last_known, True, sliced)
 
 
 def previous_row(
@@ -162,15 +112,31 @@ def previous_row(
     by: Sequence[str],
     order: Sequence[str],
     columns: dict[str, str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    sliced: bool = False,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
-    """Value of the previous row of the key: `{column: output name}`."""
-    if max_group_rows is None:
+    """Value of the previous row of the key: `{column: output name}`.
+
+    Not sliced unless asked for: callers have a row per day, so a key is bounded by the calendar.
+    `earlier` holds rows that come before all of `df`: only the last one of each key is kept,
+    by an aggregate, as the previous row of the key's first row here.
+    """
+    if earlier is not None:
+        needed = list(dict.fromkeys([*order, *columns]))
+        last = earlier.groupBy(*by).agg(F.max_by(F.struct(*needed), F.struct(*order)).alias("_last"))
+        both = df.withColumn("_earlier", F.lit(False)).unionByName(
+            last.select(*by, *[F.col("_last").getField(c).alias(c) for c in needed if c not in by])
+            .withColumn("_earlier", F.lit(True)),
+            allowMissingColumns=True,
+        )
+        done = previous_row(both, by, order, columns, sliced)
+        return done.where(~F.col("_earlier")).drop("_earlier")
+    if not sliced:
         w = Window.partitionBy(*by).orderBy(*[F.asc(c) for c in order])
         return df.withColumns({out: F.lag(c).over(w) for c, out in columns.items()})
     packed = df.withColumn("_row", F.struct(*columns))
     lagged = _over_keys(
-        packed, by, order, ["_row"], ["_prev"], lambda c, w: F.lag(c).over(w), False, max_group_rows
+        packed, by, order, ["_row"], ["_prev"], lambda c, w: F.lag(c).over(w), False, sliced
     )
     return lagged.withColumns(
         {out: F.col("_prev").getField(c) for c, out in columns.items()}
@@ -187,7 +153,7 @@ def asof_join(
     tie_break: Sequence[str] = (),
     direction: str = "backward",
     per_column: bool = False,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    sliced: bool = True,
 ) -> DataFrame:
     """Left join to the latest right row of the key at or before the left row's time
     (`direction="forward"`: the earliest at or after it).
@@ -230,7 +196,7 @@ def asof_join(
     )
     both = stacked_left.unionByName(stacked_right, allowMissingColumns=True)
     fill = fill_forward if backward else fill_backward
-    filled = fill(both, keys, ["_time", "_side", *ties], list(found), max_group_rows)
+    filled = fill(both, keys, ["_time", "_side", *ties], list(found), sliced)
     matched = filled.where(F.col("_side") == (1 if backward else 0)).select(
         *left.columns, *results
     )

@@ -3,33 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
-from datetime import date
+from dataclasses import dataclass, field, replace
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.schemas import DATASETS, DatasetSpec
 from folioflow.sources import ledger
-from folioflow.sources.datasets import conform, upsert_by_date, write_dataset
-from folioflow.sources.tables import SourceTables, in_span, rename_from_schema
+from folioflow.sources.datasets import (
+    INSTRUMENT_CODE,
+    TRADE_DATE,
+    conform,
+    dataset_exists,
+    read_dataset,
+    upsert_by_date,
+    write_dataset,
+)
+from folioflow.sources.tables import SourceTables, in_span, month_predicates, rename_from_schema
 
 BUILDERS: dict[str, Callable[["BuildContext"], DataFrame]] = {}
 
 
 @dataclass(frozen=True)
 class BuildContext:
-    """What a builder reads: source tables, a span of days, codes, datasets already stored."""
+    """What a builder reads: source tables, a span of days, codes, datasets already stored.
+
+    `stored` holds what earlier runs stored of the dataset that is being built; its rows before
+    the span give previous values at the span's first day.
+    """
 
     sources: SourceTables
     start: date | None = None
     end: date | None = None
     codes: DataFrame | None = None
     datasets: Mapping[str, DataFrame] = field(default_factory=dict)
-
-    def table(self, name: str, day: str | None = None) -> DataFrame:
-        """A source table, bounded by the span if it has a day column."""
-        df = self.sources.load(name)
-        return df.withColumn(day, F.col(day).cast("date")).where(self.in_span(day)) if day else df
+    stored: Mapping[str, DataFrame] = field(default_factory=dict)
+
+    def table(self, name: str, day: str | None = None, history: bool = False) -> DataFrame:
+        """A source table, bounded by the span if it has a day column; with `history` by its end
+        only. A span with both ends is read month by month, each in a task of its own, where
+        the source takes predicates."""
+        start = None if history else self.start
+        months = month_predicates(day, start, self.end) if day and start and self.end else None
+        df = self.sources.load(name, months)
+        if day is None:
+            return df
+        return df.withColumn(day, F.col(day).cast("date")).where(in_span(day, start, self.end))
+
+    def earlier(self, name: str) -> DataFrame | None:
+        """Rows of a dataset before the span: stored ones, else those its builder gives for the
+        time before. None if the span has no start."""
+        if self.start is None:
+            return None
+        if name in self.stored:
+            return self.stored[name].where(F.col(TRADE_DATE) < F.lit(self.start))
+        before = replace(self, start=None, end=self.start - timedelta(days=1))
+        return build_dataset(name, before)
 
     def in_span(self, day: str) -> Column:
         return in_span(day, self.start, self.end)
@@ -78,11 +107,16 @@ def restrict(df: DataFrame, codes: DataFrame | None, column: str) -> DataFrame:
     return df.join(wanted, column, "left_semi")
 
 
-def store(df: DataFrame, spec: DatasetSpec, path: str, rebuild: bool = False) -> None:
-    """Month datasets are upserted by date, the others replaced."""
+def store(
+    df: DataFrame, spec: DatasetSpec, path: str, rebuild: bool = False, by_code: bool = False
+) -> None:
+    """Month datasets are upserted by date, by date and code if the load was for some codes;
+    the others are replaced."""
     options = {"max_rows_per_file": spec.max_rows_per_file, "sort_within": spec.sort_within}
     if spec.grain and not rebuild:
-        upsert_by_date(df, path, spec.schema, spec.partition_by, spec.grain, **options)
+        coded = by_code and INSTRUMENT_CODE in spec.schema.fieldNames()
+        keys = [TRADE_DATE, INSTRUMENT_CODE] if coded else [TRADE_DATE]
+        upsert_by_date(df, path, spec.schema, spec.partition_by, spec.grain, replace_by=keys, **options)
     else:
         write_dataset(
             df, path, spec.schema, spec.partition_by, spec.grain, rebuild=rebuild, **options
@@ -100,27 +134,36 @@ def run_dataset(
     ledger_path: str | None = None,
     rebuild: bool = False,
 ) -> bool:
-    """Build and store a dataset. With a ledger, a run that is already complete to the end of
-    the span is skipped (unless rebuilding), and the outcome is recorded. Errors are raised."""
+    """Build and store a dataset. With a ledger, a run whose span and codes earlier runs already
+    cover is skipped (unless rebuilding), and the outcome is recorded. Errors are raised."""
     spark = context.sources.spark
     spec = DATASETS[name]
     until = context.end or date.today()
-    if ledger_path and not rebuild:
-        try:
-            events = ledger.read_ledger(spark, ledger_path)
-            if ledger.is_complete(events, name, until):
-                return False
-        except Exception as error:  # noqa: BLE001 - the first run has no ledger yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-    if ledger_path:
-        ledger.record(spark, ledger_path, name, until, ledger.START)
+    scope = ledger.EVERY_CODE
+    if context.codes is not None:
+        codes = context.codes.select(F.col(context.codes.columns[0]).cast("string").alias("c")).distinct()
+        total = codes.agg(F.count(F.lit(1)), F.sum(F.xxhash64("c").cast("decimal(38,0)"))).first()
+        scope = f"{total[0]} codes {total[1]}"
+    if ledger_path and not rebuild and dataset_exists(spark, ledger_path):
+        events = ledger.read_ledger(spark, ledger_path)
+        if ledger.is_complete(events, name, until, context.start, scope):
+            return False
+
+    def record(status: str, message: str = "") -> None:
+        if ledger_path:
+            ledger.record(spark, ledger_path, name, until, status, message, context.start, scope)
+
+    path = dataset_path(root, name)
+    record(ledger.START)
     try:
-        store(build_dataset(name, context), spec, dataset_path(root, name), rebuild)
+        if context.start and spec.grain and dataset_exists(spark, path):
+            held = read_dataset(
+                spark, path, spec.schema, spec.partition_by, spec.grain, end=context.start - timedelta(days=1)
+            )
+            context = replace(context, stored={**context.stored, name: held})
+        store(build_dataset(name, context), spec, path, rebuild, context.codes is not None)
     except Exception as error:
-        if ledger_path:
-            ledger.record(spark, ledger_path, name, until, ledger.FAILED, str(error)[:500])
+        record(ledger.FAILED, str(error)[:500])
         raise
-    if ledger_path:
-        ledger.record(spark, ledger_path, name, until, ledger.COMPLETE, "OK")
+    record(ledger.COMPLETE, "OK")
     return True

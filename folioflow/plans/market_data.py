@@ -94,7 +94,7 @@ def fi_yield_curve(ctx: BuildContext) -> DataFrame:
 def product_values(ctx: BuildContext) -> DataFrame:
     """Stored unit values of products; missing adjusted values are computed from the assets."""
     values = ctx.table("INDIC_BASE_PORT_IDX", "BIZ_DATE").join(
-        ctx.table("INDIC_DERI_PORT_PRFT_IDX"), ["PRD_CODE", "BIZ_DATE"]
+        ctx.table("INDIC_DERI_PORT_PRFT_IDX", "BIZ_DATE"), ["PRD_CODE", "BIZ_DATE"]
     )
     stored = values.select(
         F.col("PRD_CODE").alias("instrument_code"),
@@ -121,12 +121,12 @@ def fund_daily_quote(ctx: BuildContext) -> DataFrame:
     listed = rename_for("FundDailyQuote", listed).withColumns(
         {"return_percentage": percent("return_percentage"), "trade_date": F.col("trade_date").cast("date")}
     )
-    return returns(union_all([listed, product_values(ctx)]))
+    return returns(union_all([listed, product_values(ctx)]), earlier=ctx.earlier("FundDailyQuote"))
 
 
 @builds("FxExchRate")
 def fx_exch_rate(ctx: BuildContext) -> DataFrame:
-    quotes = ctx.table("INFO_FX_EXCHRATE").where(
+    quotes = ctx.table("INFO_FX_EXCHRATE", "END_DATE").where(
         (F.col("PRC_TYPE") == MID_PRICE) & (F.col("PUB_ORG") == PUBLISHER)
     )
     return rename_for("FxExchRate", quotes)
@@ -217,13 +217,13 @@ def industry_classification(ctx: BuildContext) -> DataFrame:
 
 @builds("InstrumentRating")
 def instrument_rating(ctx: BuildContext) -> DataFrame:
-    ratings = ctx.table("INFO_FI_BONDRATING").where(F.col("RAT_ORG").isin(*RATING_AGENCIES))
+    ratings = ctx.table("INFO_FI_BONDRATING", "ANC_DATE").where(F.col("RAT_ORG").isin(*RATING_AGENCIES))
     return rename_for("InstrumentRating", ratings)
 
 
 @builds("IssuerRating")
 def issuer_rating(ctx: BuildContext) -> DataFrame:
-    return rename_for("IssuerRating", ctx.table("INFO_PARTY_RATING"))
+    return rename_for("IssuerRating", ctx.table("INFO_PARTY_RATING", "ANC_DATE"))
 
 
 @builds("Calendar")
@@ -256,7 +256,7 @@ def with_share_structure(quotes: DataFrame, changes: DataFrame) -> DataFrame:
         "announced",
         {c: f"_{c}" for c in SHARE_COLUMNS},
         per_column=True,
-        max_group_rows=None,
+        sliced=False,
     )
     first = per_day.groupBy("issuer_code").agg(*first_known(SHARE_COLUMNS, ["announced"]))
     return asof.join(first, "issuer_code", "left").select(
@@ -272,7 +272,7 @@ def stock_daily_quote(ctx: BuildContext) -> DataFrame:
     wanted = [members.select("CPN_CODE")] if held is None else [held, members.select("CPN_CODE")]
     prices = restrict_to_codes(prices, wanted, "STK_CODE")
     issuers = ctx.table("INFO_STK_BASICINFO").select("STK_CODE", "PARTY_CODE")
-    rows = prices.join(ctx.table("INFO_STK_VALUATION"), ["STK_CODE", "END_DATE"]).join(
+    rows = prices.join(ctx.table("INFO_STK_VALUATION", "END_DATE"), ["STK_CODE", "END_DATE"]).join(
         issuers, "STK_CODE", "left"
     )
     quotes = rename_for("StockDailyQuote", rows).withColumns(
@@ -282,7 +282,8 @@ def stock_daily_quote(ctx: BuildContext) -> DataFrame:
             "dividend_yield": percent("dividend_yield"),
         }
     )
-    changes = ctx.table("INFO_PARTY_SHRSTRUC", "ANC_DATE").select(
+    # All announcements, whatever the span: days before an issuer's first take that one.
+    changes = ctx.table("INFO_PARTY_SHRSTRUC").select(
         F.col("PARTY_CODE").alias("issuer_code"),
         F.col("ANC_DATE").cast("date").alias("announced"),
         F.col("SHR_PS").cast("double").alias("preferred_stock"),

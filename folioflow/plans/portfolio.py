@@ -64,18 +64,24 @@ def repo_terms(ctx: BuildContext) -> DataFrame:
 
 @builds("CombPosition")
 def comb_position(ctx: BuildContext) -> DataFrame:
-    return with_repo_term(with_previous(position_detail(ctx), POSITION_ORDER), repo_terms(ctx))
+    rows = with_previous(position_detail(ctx), POSITION_ORDER, earlier=ctx.earlier("CombPosition"))
+    return with_repo_term(rows, repo_terms(ctx))
 
 
 @builds("CombPositionPenetrate")
 def comb_position_penetrate(ctx: BuildContext) -> DataFrame:
     edges = ctx.dataset("DownRelationPortfolio").where(ctx.in_span("trade_date"))
-    return penetrate_positions(position_detail(ctx), look_through(edges), repo_terms(ctx))
+    return penetrate_positions(
+        position_detail(ctx),
+        look_through(edges),
+        repo_terms(ctx),
+        earlier=ctx.earlier("CombPositionPenetrate"),
+    )
 
 
 @builds("DownRelationPortfolio")
 def down_relation(ctx: BuildContext) -> DataFrame:
-    return rename_for("DownRelationPortfolio", ctx.table("INDIC_DOWN_RELATION"))
+    return rename_for("DownRelationPortfolio", ctx.table("INDIC_DOWN_RELATION", "VALUATION_DATE"))
 
 
 @builds("BondPosition")
@@ -90,7 +96,7 @@ def bond_position(ctx: BuildContext) -> DataFrame:
 
 @builds("CombAsset")
 def comb_asset(ctx: BuildContext) -> DataFrame:
-    return rename_for("CombAsset", ctx.table("DM_PORT_ASSET"))
+    return rename_for("CombAsset", ctx.table("DM_PORT_ASSET", "BUSI_DATE"))
 
 
 @builds("StockIndexPortfolio")

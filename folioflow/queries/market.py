@@ -488,5 +488,5 @@ def outstanding_default(spark, sf_dir):
     paid = _events(spark, sf_dir, "view").select(
         "user_id", day("ts").alias("trade_date"), F.col("value").alias("cash_amt_aft")
     )
-    rows = outstanding_principal(valued, paid, code="user_id", max_group_rows=ordered.MAX_GROUP_ROWS)
+    rows = outstanding_principal(valued, paid, code="user_id", sliced=True)
     return rows.select("event_id", "cash_amt_aft")

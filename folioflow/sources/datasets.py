@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from folioflow.functions.dates import partition_key
-from folioflow.sources.storage import cut_lineage
+from folioflow.sources.storage import remove_path, staging
 from folioflow.sources.tables import all_of, in_span
 
 # Default column names, date grains and rows per row group.
@@ -55,6 +55,7 @@ def filter_dataset(
     columns: Sequence[str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     newest_first: bool = False,
+    sort: Sequence[tuple[str, bool]] = (),
     date_column: str = TRADE_DATE,
     code_column: str = INSTRUMENT_CODE,
     grain: str | None = None,
@@ -63,7 +64,8 @@ def filter_dataset(
 
     The date bounds are ignored by datasets without a date column. With a `grain`, they also
     bound the partition column, so only the partitions needed are listed. `codes` may be a
-    frame of codes, which becomes a semi join.
+    frame of codes, which becomes a semi join. `sort` lists (column, ascending) pairs that
+    order the rows after the date of `newest_first`.
     """
     where = dict(where or {})
     predicates = []
@@ -90,8 +92,10 @@ def filter_dataset(
         found = found.join(codes.select(code_column).distinct(), code_column, "left_semi")
     if kept is not None:
         found = found.select(*dict.fromkeys(kept))
-    if newest_first and date_column in found.columns:
-        found = found.orderBy(F.desc(date_column))
+    order = [F.desc(date_column)] if newest_first and date_column in found.columns else []
+    order += [F.asc(c) if ascending else F.desc(c) for c, ascending in sort]
+    if order:
+        found = found.orderBy(*order)
     return found.transform(transform) if transform else found
 
 
@@ -164,11 +168,23 @@ def dataset_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def merge_by(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows whose keys the batch does not hold, plus the batch. Null equals null."""
+    held = batch.select(*[F.col(c).alias(f"_held_{c}") for c in keys]).distinct()
+    same = all_of([F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in keys])
+    return stored.join(held, same, "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
 def merge_by_date(stored: DataFrame, batch: DataFrame, date_column: str = TRADE_DATE) -> DataFrame:
     """Stored rows of dates the batch does not hold, plus the batch."""
-    touched = batch.select(date_column).distinct()
-    kept = stored.join(touched, date_column, "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    return merge_by(stored, batch, [date_column])
+
+
+def _folder(spark: SparkSession, path: str, columns: Sequence[str], row) -> str:
+    """The folder of a partition, with its values escaped as Spark does."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    values = ["__HIVE_DEFAULT_PARTITION__" if row[c] in (None, "") else escape(str(row[c])) for c in columns]
+    return "/".join([path, *[f"{escape(c)}={v}" for c, v in zip(columns, values)]])
 
 
 def upsert_by_date(
@@ -178,26 +194,45 @@ def upsert_by_date(
     partition_by: Sequence[str] = (),
     grain: str = "month",
     date_column: str = TRADE_DATE,
+    replace_by: Sequence[str] | None = None,
     **write_options,
 ) -> None:
-    """Replace whole dates: the newest batch wins, other dates of the same months stay.
+    """Replace what the batch holds: the newest batch wins, other rows of the same months stay.
+
+    `replace_by` names the keys whose values are replaced, by default the date; a load of some
+    codes replaces by date and code. A null date is a value like any other.
 
-    The months of the batch are few and listed once to prune the stored read. The merged rows
-    are checkpointed first, since a folder cannot be overwritten while it is being read.
+    The batch is evaluated once, into a staged table. Its months are few and listed once to
+    prune the stored read. The merged rows are staged as well, since a folder cannot be
+    overwritten while it is being read. Folders that lost all their rows are removed after the
+    write. Stages are removed at the end.
     """
     spark = batch.sparkSession
-    batch = conform(batch, schema)
-    if dataset_exists(spark, path):
-        touched = batch.select(partition_key(date_column, grain).alias("key")).distinct()
-        keys = [row["key"] for row in touched.collect()]
-        stored = (
-            spark.read.schema(stored_schema(schema, partition_by, grain))
-            .parquet(path)
-            .where(F.col(grain).isin(keys))
-            .drop(grain)
-        )
-        batch = cut_lineage(merge_by_date(stored, batch, date_column))
-    write_dataset(batch, path, schema, partition_by, grain, date_column, **write_options)
+    keys = list(replace_by or [date_column])
+    with staging(spark) as stage:
+        batch = stage(conform(batch, schema))
+        emptied = []
+        if dataset_exists(spark, path):
+            touched = batch.select(partition_key(date_column, grain).alias("key")).distinct()
+            months = [row["key"] for row in touched.collect()]
+            wanted = F.col(grain).isin([m for m in months if m is not None])
+            if None in months:
+                wanted = wanted | F.col(grain).isNull()
+            stored = (
+                spark.read.schema(stored_schema(schema, partition_by, grain)).parquet(path).where(wanted)
+            )
+            folders = [*partition_by, grain]
+            before = stored.select(*[F.col(c).cast("string").alias(c) for c in folders]).distinct().collect()
+            batch = stage(merge_by(stored.drop(grain), batch, keys))
+            after = batch.withColumn(grain, partition_key(date_column, grain)).select(
+                *[F.col(c).cast("string").alias(c) for c in folders]
+            )
+            emptied = [
+                _folder(spark, path, folders, row) for row in set(before) - set(after.distinct().collect())
+            ]
+        write_dataset(batch, path, schema, partition_by, grain, date_column, **write_options)
+        for folder in emptied:
+            remove_path(spark, folder)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and read on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared working folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Gives a function that writes a frame as parquet to the shared folder and reads it back.
+    What it wrote is removed at the end, so it only serves work that ends within."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        paths.append(shared_path(spark, "stage"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            remove_path(spark, path)

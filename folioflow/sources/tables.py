@@ -16,11 +16,16 @@ DRILL_DOWN_PREFIX = "INDIC_"
 
 @dataclass(frozen=True)
 class Location:
-    """Where tables live: a Spark format with its options, or a folder of parquet tables."""
+    """Where tables live: a Spark format with its options, or a folder of parquet tables.
+
+    `splits` gives, for JDBC tables without a day column, a numeric or date column, its bounds
+    and the number of ranges to read in parallel.
+    """
 
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
+    splits: Mapping[str, tuple[str, object, object, int]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -53,6 +58,12 @@ class SourceTables:
                 return self.spark.read.jdbc(
                     url, table, predicates=list(predicates), properties=options
                 )
+            if table in place.splits:
+                column, lower, upper, ranges = place.splits[table]
+                return self.spark.read.jdbc(
+                    url, table, column=column, lowerBound=lower, upperBound=upper,
+                    numPartitions=ranges, properties=options,
+                )
             return self.spark.read.jdbc(url, table, properties=options)
         if place.path is None:
             return self.spark.read.format(place.format).options(**place.options).table(table)

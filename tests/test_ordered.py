@@ -1,7 +1,8 @@
 """Fills, lags and as-of joins, whole and sliced, against brute force."""
 
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -10,8 +11,8 @@ from folioflow.operators.ordered import (
     asof_join,
     fill_backward,
     fill_forward,
-    plan_slices,
     previous_row,
+    slice_of,
 )
 
 START = date(2024, 1, 1)
@@ -39,9 +40,9 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("limit", [None, 20, 10_000])
+@pytest.mark.parametrize("sliced", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_fill_forward_and_backward(spark, seed, limit):
+def test_fill_forward_and_backward(spark, seed, sliced):
     rows = random_rows(seed)
     forward, backward = {}, {}
     for group in by_key(rows).values():
@@ -54,21 +55,21 @@ def test_fill_forward_and_backward(spark, seed, limit):
             last = r[3] if r[3] is not None else last
             backward[r[0]] = last
     df = frame(spark, rows)
-    got = fill_forward(df, ["key"], ["day", "id"], ["value"], limit).collect()
+    got = fill_forward(df, ["key"], ["day", "id"], ["value"], sliced).collect()
     assert {r["id"]: r["value"] for r in got} == forward and len(got) == len(rows)
-    got = fill_backward(df, ["key"], ["day", "id"], ["value"], limit).collect()
+    got = fill_backward(df, ["key"], ["day", "id"], ["value"], sliced).collect()
     assert {r["id"]: r["value"] for r in got} == backward and len(got) == len(rows)
 
 
-@pytest.mark.parametrize("limit", [None, 20])
-def test_previous_row(spark, limit):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_previous_row(spark, sliced):
     rows = random_rows(3)
     want = {}
     for group in by_key(rows).values():
         for before, r in zip([None] + group, group):
             want[r[0]] = (before[3], before[0]) if before else (None, None)
     got = previous_row(
-        frame(spark, rows), ["key"], ["day", "id"], {"value": "p", "id": "q"}, limit
+        frame(spark, rows), ["key"], ["day", "id"], {"value": "p", "id": "q"}, sliced
     ).collect()
     assert {r["id"]: (r["p"], r["q"]) for r in got} == want
 
@@ -88,15 +89,15 @@ def brute_asof(left, right, forward=False):
     return out
 
 
-@pytest.mark.parametrize("limit", [None, 25])
+@pytest.mark.parametrize("sliced", [False, True])
 @pytest.mark.parametrize("direction", ["backward", "forward"])
 @pytest.mark.parametrize("seed", [5, 6])
-def test_asof_join(spark, seed, direction, limit):
+def test_asof_join(spark, seed, direction, sliced):
     left, right = random_rows(seed, 150), random_rows(seed + 100, 150)
     known = frame(spark, right).where("value is not null").withColumnRenamed("value", "found")
     got = asof_join(
         frame(spark, left), known, ["key"], "day", "day", ["found"], tie_break=["found", "id"],
-        direction=direction, max_group_rows=limit,
+        direction=direction, sliced=sliced,
     ).collect()
     assert len(got) == len(left)
     assert {r["id"]: r["found"] for r in got} == brute_asof(left, right, direction == "forward")
@@ -116,12 +117,55 @@ def test_asof_same_day_counts_and_names_may_differ(spark):
     assert (row["a1"], row["b1"]) == (1, 7)
 
 
-def test_only_large_keys_are_sliced(spark):
+ORDERS = {
+    "string": [None, "", "1", "10", "2", "59", "ab", "abc", "b", "é", "éa", "Z"],
+    "double": [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.5, 0.5, 1e300, -1e300, 3.25, 3.5, 1e-9],
+    "decimal(20,4)": [None, *[Decimal(x) for x in ("-12.5", "-0.0001", "0", "0.0001", "7", "99999999.9999")]],
+    "timestamp": [None, *[datetime(2020, 1, 1) + timedelta(days=17 * i, hours=i) for i in range(12)]],
+    "boolean": [None, False, True],
+    "int": [None, -(2**31), -7, 0, 1, 2, 3, 1000, 2**31 - 1],
+}
+
+
+@pytest.mark.parametrize("kind", list(ORDERS))
+def test_slices_change_nothing_whatever_the_order_type(spark, kind):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("xy"), rng.choice(ORDERS[kind]), rng.choice([None, i])) for i in range(120)]
+    df = spark.createDataFrame(rows, f"id int, key string, o {kind}, value int")
+    for fill in (fill_forward, fill_backward):
+        plain, cut = (
+            sorted((r["id"], r["value"]) for r in fill(df, ["key"], ["o", "id"], ["value"], s).collect())
+            for s in (False, True)
+        )
+        assert plain == cut
+    lags = [
+        sorted(((r["id"], r["p"]) for r in previous_row(df, ["key"], ["o", "id"], {"id": "p"}, s).collect()), key=repr)
+        for s in (False, True)
+    ]
+    assert lags[0] == lags[1]
+    placed = df.withColumn("s", slice_of(df, "o")).orderBy("o").select("s").collect()
+    assert [r["s"] for r in placed] == sorted(r["s"] for r in placed)
+
+
+def test_large_keys_are_cut_without_a_job(spark):
     df = frame(spark, random_rows(7))
-    assert plan_slices(df, ["key"], "day", 10_000) is None
-    slices = plan_slices(df, ["key"], "day", 100)
-    assert [r["key"] for r in slices.hot_keys.collect()] == ["hot"]
-    assert slices.n_hot == 1 and len(slices.bounds) >= 1
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    sliced = fill_forward(df, ["key"], ["day", "id"], ["value"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert df.select(slice_of(df, "day")).distinct().count() > 1 and sliced.count() == df.count()
+
+
+def test_the_first_row_looks_back_to_earlier_ones(spark):
+    rows = random_rows(9)
+    key = lambda r: (r[2], r[0])
+    cut = START + timedelta(days=30)
+    whole = previous_row(frame(spark, rows), ["key"], ["day", "id"], {"value": "p"})
+    want = {r["id"]: r["p"] for r in whole.collect() if r["day"] >= cut}
+    late = frame(spark, [r for r in sorted(rows, key=key) if r[2] >= cut])
+    early = frame(spark, [r for r in rows if r[2] < cut])
+    for sliced in (False, True):
+        got = previous_row(late, ["key"], ["day", "id"], {"value": "p"}, sliced, earlier=early)
+        assert {r["id"]: r["p"] for r in got.collect()} == want and set(got.columns) == {*late.columns, "p"}
 
 
 def test_dedupe_keeps_first_and_last(spark):
