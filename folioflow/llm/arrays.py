@@ -47,11 +47,25 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_BASE, size), _powers(_INVERSE, size)
 
 
+@lru_cache(1)
+def _plane_codes() -> np.ndarray:
+    return mixed(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def _char_codes(chars: np.ndarray) -> np.ndarray:
+    """One random number per code point: looked up for the first plane, worked out beyond."""
+    out = _plane_codes()[chars & 0xFFFF]
+    beyond = np.flatnonzero(chars >> 16)
+    if len(beyond):
+        out[beyond] = mixed(chars[beyond].astype(np.uint64) + np.uint64(1))
+    return out
+
+
 def prefix_hash(raw: np.ndarray) -> np.ndarray:
     """Sums from which the hash of any substring follows: see `substring_hash`. Takes bytes or
     code points."""
     up, _ = powers(len(raw) + 1)
-    codes = byte_codes()[raw] if raw.dtype == np.uint8 else mixed(raw.astype(np.uint64) + np.uint64(1))
+    codes = byte_codes()[raw] if raw.dtype == np.uint8 else _char_codes(raw)
     out = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(codes * up[: len(raw)], out=out[1:])
     return out

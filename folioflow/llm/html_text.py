@@ -215,7 +215,7 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6, least: int = 3) -> Tree:
+def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 8, least: int = 2) -> Tree:
     """Binary splits of least Gini impurity, ties to the earlier feature and smaller limit."""
     share = keep.mean() if len(keep) else 0.0
     if depth == 0 or share in (0.0, 1.0) or len(keep) < 2 * least:

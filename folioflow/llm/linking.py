@@ -218,7 +218,13 @@ def solve_groups(rows: DataFrame, solve: Callable[[list[bytes]], np.ndarray]) ->
         if held:
             yield done()
 
-    ordered = rows.select("group", "item", "split", "payload").repartition("group").sortWithinPartitions("group")
+    # The rows are few and their work is not: a given number of tasks, not one per so many bytes.
+    n_tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        rows.select("group", "item", "split", "payload")
+        .repartition(n_tasks, "group")
+        .sortWithinPartitions("group")
+    )
     return ordered.mapInArrow(run, LINKS_DDL)
 
 
