@@ -5,6 +5,8 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,10 @@ SEED = 2024
 VARIANTS = 8
 #: Longer units go through a heap one by one, shorter ones in lockstep.
 LOCKSTEP_CHARS = 48
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Piece ids decoded at once, and words whose segmentations a worker keeps.
+SLICE_IDS = 1 << 19
+CACHE_WORDS = 200_000
 
 _SPACE = "▁"
 _NEVER = np.int64(np.iinfo(np.int64).max)
@@ -61,7 +66,7 @@ class Pieces:
         self.lengths = np.array([len(c) for c in content])
         self.starts = run_starts(self.lengths)
         self.content = np.frombuffer(b"".join(content), np.uint8)
-        self.char_id = np.full(0x110000, -1, np.int64)
+        self.char_id = np.full(0x110000, -1, np.int32)
         for name, i in ids.items():
             if len(name) == 1:
                 self.char_id[ord(name)] = i
@@ -104,7 +109,7 @@ class Pieces:
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Index of the merge of each pair of pieces, -1 if there is none."""
         held, value, bits = self._slots
-        key = np.where((left >= 0) & (right >= 0), left * self.size + right, -2)
+        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -2)
         home = (mixed(key.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
         found = np.full(len(key), -1, np.int64)
         open_ = np.arange(len(key))
@@ -135,6 +140,7 @@ class MergeDropout:
             raise ValueError("the dropout rate is between 0 and 1")
         self.pieces = pieces
         self.variants = variants if 0 < dropout < 1 else 1
+        self._forget()
         # Hashes below the limit are skipped; they are compared by their upper 53 bits.
         self.limit = np.uint64(int(dropout * (1 << 53)))
         self.seed = np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -161,30 +167,32 @@ class MergeDropout:
         order = np.argsort(owner, kind="stable")
         return symbol[order], np.bincount(owner, minlength=len(units))
 
-    def _candidates(self, symbol, start, end, key, at) -> np.ndarray:
+    def _candidates(self, units: tuple, symbol, owner, start, at) -> np.ndarray:
         """Rank and place of the merge of symbols `at` and `at + 1`; _NEVER if none or skipped."""
+        sizes, keys = units
         merge = self.pieces.merge_of(symbol[at], symbol[at + 1])
         out = np.full(len(at), _NEVER)
         some = np.flatnonzero(merge >= 0)
         if len(some) and self.limit:
             i = at[some]
-            some = some[~self.skipped(key[i], start[i], start[i + 1], end[i + 1])]
+            beyond = np.minimum(i + 2, len(owner) - 1)
+            follows = (i + 2 < len(owner)) & (owner[beyond] == owner[i])
+            end = np.where(follows, start[beyond], sizes[owner[i]])
+            some = some[~self.skipped(keys[owner[i]], start[i], start[i + 1], end)]
         out[some] = (self.pieces.pair_rank[merge[some]] << _PLACE_BITS) | start[at[some]]
         return out
 
     def _lockstep(self, units, sizes, keys, names) -> tuple[np.ndarray, np.ndarray]:
         """All agendas at once: in every round each unit takes its best candidate."""
-        char = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        char = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int32)
         symbol = self.pieces.char_id[char]
-        symbol = np.where(symbol < 0, -1 - char, symbol)
-        owner = np.repeat(np.arange(len(units)), sizes)
-        start = np.arange(len(char)) - np.repeat(run_starts(sizes), sizes)
-        end = start + 1
-        key = keys[owner] if len(owner) else np.zeros(0, np.uint64)
+        symbol = np.where(symbol < 0, -1 - char, symbol).astype(np.int32)
+        owner = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+        start = (np.arange(len(char)) - np.repeat(run_starts(sizes), sizes)).astype(np.int32)
         done_owner, done_symbol = [], []
         best = np.full(len(symbol), _NEVER)
         pairs = np.flatnonzero(owner[1:] == owner[:-1])
-        best[pairs] = self._candidates(symbol, start, end, key, pairs)
+        best[pairs] = self._candidates((sizes, keys), symbol, owner, start, pairs)
         while len(symbol):
             heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             counts = np.diff(np.r_[heads, len(owner)])
@@ -194,32 +202,27 @@ class MergeDropout:
                 stays = np.repeat(live, counts)
                 done_owner.append(owner[~stays])
                 done_symbol.append(symbol[~stays])
-                symbol, owner, start, end, key, best = (
-                    x[stays] for x in (symbol, owner, start, end, key, best)
-                )
+                symbol, owner, start, best = symbol[stays], owner[stays], start[stays], best[stays]
                 least, counts = least[live], counts[live]
                 if not len(symbol):
                     break
             at = np.flatnonzero(best == np.repeat(least, counts))
             merge = self.pieces.merge_of(symbol[at], symbol[at + 1])
             symbol[at] = self.pieces.pair_id[merge]
-            end[at] = end[at + 1]
             stays = np.ones(len(symbol), bool)
             stays[at + 1] = False
             at = at - np.arange(len(at))  # one symbol left before each earlier merge
-            symbol, owner, start, end, key, best = (
-                x[stays] for x in (symbol, owner, start, end, key, best)
-            )
+            symbol, owner, start, best = symbol[stays], owner[stays], start[stays], best[stays]
             best[at] = _NEVER
             right = at[(at + 1 < len(owner))]
             right = right[owner[right] == owner[right + 1]]
             left = at[at > 0] - 1
             left = left[owner[left] == owner[left + 1]]
             changed = np.concatenate([left, right])
-            best[changed] = self._candidates(symbol, start, end, key, changed)
+            best[changed] = self._candidates((sizes, keys), symbol, owner, start, changed)
         if not done_owner:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return names[np.concatenate(done_owner)], np.concatenate(done_symbol)
+        return names[np.concatenate(done_owner)], np.concatenate(done_symbol).astype(np.int64)
 
     def _agenda(self, unit: str, key: np.uint64) -> np.ndarray:
         """One unit of any length with a heap of candidates over a linked list of symbols."""
@@ -274,36 +277,67 @@ class MergeDropout:
         owner = np.repeat(np.arange(len(counts)), counts)
         return out, np.bincount(owner, weights=size, minlength=len(counts)).astype(np.int64)
 
+    def _forget(self, keep: int = 0) -> None:
+        """Start the store of segmented words anew, with the words that came most often."""
+        kept: list[str] = []
+        if keep and len(self.number) > keep:
+            names = list(self.number)
+            kept = [names[i] for i in np.argpartition(-self.uses[: len(names)], keep)[:keep].tolist()]
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        for name in kept:
+            self.number[name]
+        self.uses = np.zeros(1 << 12, np.int32)
+        # Where the ids of word and variant lie in the store, -1 where they are not known.
+        self.at = np.full(self.variants << 12, -1, np.int32)
+        self.count = np.zeros(self.variants << 12, np.int32)
+        self.store = np.zeros(1 << 16, np.int32)
+        self.used = 0
+
+    def _learn(self, codes: np.ndarray, names: list[str]) -> None:
+        """Segment the words of these codes (word number and variant) and store their ids."""
+        symbol, counts = self.segment(names, self.keys_of(codes % self.variants))
+        ids, counts = self._with_bytes(symbol, counts)
+        if self.used + len(ids) > len(self.store):
+            self.store = np.r_[self.store, np.zeros(len(self.store) // 4 + len(ids), np.int32)]
+        self.store[self.used : self.used + len(ids)] = ids
+        self.at[codes] = self.used + run_starts(counts)
+        self.count[codes] = counts
+        self.used += len(ids)
+
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every text, flat, and their counts. `keys` (one per text) with the place of a
-        word in its text draw which of its segmentations the word takes there."""
-        number: defaultdict[str, int] = defaultdict()
-        number.default_factory = number.__len__
-        found, per_text = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            units = _UNIT.findall(" " + text) if text else []
-            per_text[i] = len(units)
-            found.append(np.fromiter(map(number.__getitem__, units), np.int64, len(units)))
-        unit = np.concatenate(found) if found else np.zeros(0, np.int64)
-        if not len(unit):
+        word in its text draw which of its segmentations the word takes there. What the store
+        holds changes the work, never the result."""
+        if len(self.number) > CACHE_WORDS:
+            self._forget(CACHE_WORDS // 4)
+        units = [_UNIT.findall(" " + text) if text else [] for text in texts]
+        per_text = np.fromiter(map(len, units), np.int64, len(texts))
+        total = int(per_text.sum())
+        unit = np.fromiter(map(self.number.__getitem__, chain.from_iterable(units)), np.int64, total)
+        if not total:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        known = len(self.uses)
+        if len(self.number) > known:
+            more = len(self.number) + (len(self.number) >> 2) - known
+            self.uses = np.r_[self.uses, np.zeros(more, np.int32)]
+            self.at = np.r_[self.at, np.full(more * self.variants, -1, np.int32)]
+            self.count = np.r_[self.count, np.zeros(more * self.variants, np.int32)]
+        self.uses += np.bincount(unit, minlength=len(self.uses)).astype(np.int32)
+        code = unit * self.variants
         if self.variants > 1:
             place = spread(np.zeros(len(texts), np.int64), per_text).astype(np.uint64)
             drawn = mixed(np.repeat(keys.astype(np.uint64), per_text) ^ mixed(place + self.seed))
-            variant = (drawn % np.uint64(self.variants)).astype(np.int64)
-        else:
-            variant = np.zeros(len(unit), np.int64)
-        codes, which = np.unique(unit * self.variants + variant, return_inverse=True)
-        names = list(number)
-        symbol, counts = self.segment(
-            [names[c] for c in (codes // self.variants).tolist()], self.keys_of(codes % self.variants)
-        )
-        symbol, counts = self._with_bytes(symbol, counts)
-        sizes = counts[which]
-        ids = symbol[spread(run_starts(counts)[which], sizes)]
-        ends = np.r_[0, np.cumsum(sizes)]
-        edges = ends[np.r_[0, np.cumsum(per_text)]]
-        return ids, np.diff(edges)
+            code += (drawn % np.uint64(self.variants)).astype(np.int64)
+        new = np.flatnonzero(self.at[code] < 0)
+        if len(new):
+            codes, first = np.unique(code[new], return_index=True)
+            flat = list(chain.from_iterable(units))
+            self._learn(codes, [flat[i] for i in new[first].tolist()])
+        sizes = self.count[code].astype(np.int64)
+        ids = self.store[spread(self.at[code].astype(np.int64), sizes)]
+        ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(per_text)]]
+        return ids, np.diff(ends)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of every text, flat, and their counts; the leading space is taken off."""
@@ -325,6 +359,12 @@ def load_pieces(path: str) -> Pieces:
     return _loaded[path]
 
 
+@lru_cache(1)
+def merge_dropout(path: str, dropout: float, seed: int, variants: int) -> MergeDropout:
+    """One encoder per worker, kept between tasks with its store."""
+    return MergeDropout(load_pieces(path), dropout, seed, variants)
+
+
 def model_path(name: str = MODEL) -> str:
     import public_tokenizers
 
@@ -355,7 +395,7 @@ def encode_pieces(
     n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = MergeDropout(load_pieces(path), dropout, seed, variants)
+        encoder = merge_dropout(path, dropout, seed, variants)
         for batch in batches:
             for first, last, raw, _ in slices(batch, "_text", SLICE_BYTES):
                 part = batch.slice(first, last - first)
@@ -364,7 +404,7 @@ def encode_pieces(
                     part.column("_key").to_numpy(zero_copy_only=False).astype(np.uint64),
                 )
                 offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
-                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:n], lists], names=[*batch.schema.names[:n], to]
                 )
@@ -383,18 +423,25 @@ def decode_pieces(encoded: DataFrame, path: str, ids: str = "piece_ids", to: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = MergeDropout(load_pieces(path), 0.0)
         for batch in batches:
-            lists = batch.column("_ids")
-            content, counts = decoder.decode(
-                lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-                lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
-            )
-            offsets = np.r_[0, np.cumsum(counts)].astype(np.int64)
-            text = pa.LargeStringArray.from_buffers(
-                len(counts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(content))
-            ).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n], text], names=[*batch.schema.names[:n], to]
-            )
+            counts = batch.column("_ids").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(counts)
+            first = 0
+            while first < len(counts):
+                # As many texts as have SLICE_IDS ids, one at least.
+                limit = ends[first] - counts[first] + SLICE_IDS
+                last = max(first + 1, int(np.searchsorted(ends, limit, "right")))
+                part = batch.slice(first, last - first)
+                content, sizes = decoder.decode(
+                    part.column("_ids").flatten().to_numpy(zero_copy_only=False), counts[first:last]
+                )
+                offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                text = pa.StringArray.from_buffers(
+                    len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(content))
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:n], text], names=[*batch.schema.names[:n], to]
+                )
+                first = last
 
     schema = T.StructType([*encoded.select(*kept).schema, T.StructField(to, T.StringType())])
     return rows.mapInArrow(run, schema)
@@ -409,7 +456,7 @@ def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_pieces"),
-        F.crc32(F.array_join("piece_ids", " ").cast("binary")).alias("ids_crc32"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
         F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
         (F.col("decoded") == text).alias("lossless"),
     )
