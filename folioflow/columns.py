@@ -1,84 +1,7 @@
-"""Vocabulary: output column names, currencies, instrument and series types."""
+"""Vocabulary that the builders and the currency operators share."""
 
 from __future__ import annotations
 
-from types import SimpleNamespace
-
-from folioflow.schemas import DATASETS
-
-# Every declared output column, reachable as `NAMES.trade_date`.
-NAMES = SimpleNamespace(
-    **{f.name: f.name for spec in DATASETS.values() if spec.schema for f in spec.schema}
-)
-
-# Currencies, the pivot of all conversions first.
-CURRENCIES = ("CNY", "CNH", "EUR", "USD", "HKD", "YEN")
+# The pivot of all currency conversions; indexes loaded when none are asked for.
 PIVOT_CURRENCY = "CNY"
-
-# Instrument types with their labels.
-INSTRUMENT_TYPES = {
-    "FUND": "基金",
-    "BENCH_MARK": "基准",
-    "BOND": "债券",
-    "STOCK": "股票",
-    "ABS": "资产支持证券",
-    "FUTURE": "期货",
-    "REPO": "回购",
-    "NONSTD": "非标债权",
-    "AMP": "资产管理计划",
-    "DEPOSIT": "存款",
-    "CASH_OTHER": "现金",
-    "CASH": "现金",
-    "INDUSTRY": "行业",
-    "STOCK_INDEX": "股票指数",
-    "MIX_ASSET": "混合资产",
-    "IRS": "利率互换",
-}
-
-# Time series types.
-TIME_SERIES_TYPES = (
-    "ABSOLUTE_YIELD_CURVE_CHANGE",
-    "RELATIVE_YIELD_CURVE_CHANGE",
-    "PRICE",
-    "ADJUSTED_PRICE",
-    "RETURN",
-    "ADJUSTED_RETURN",
-    "LOG_RETURN",
-    "ADJUSTED_LOG_RETURN",
-    "YIELD_CURVE",
-    "DEPOSIT",
-    "IRS_CURVE",
-)
-
-# Indexes loaded when none are asked for.
 DEFAULT_INDEXES = ("SEC024342013", "SEC023059609", "SEC023392778", "SEC024022199", "SEC045336986")
-
-# Factor names.
-FACTOR_NAMES = """
-ln_nmv mid_cap beta historical_sigma daily_std cumulative_return_range monthly_turnover
-quarterly_turnover annual_turnover annualized_traded_value_ratio short_term_reversal
-seasonality industry_momentum relative_strength historical_alpha market_leverage
-book_leverage debt_to_asset_ratio variation_in_sales variation_in_earnings
-variation_in_cashflow predicted_earning_to_price_ratio accruals_balance_sheet
-accruals_cashflow asset_turnover gross_profit_ability gross_profit_margin return_on_assets
-total_assets_growth_rate issuance_growth_rate capital_expenditure_growth_rate book_to_price
-trailing_earnings_to_price_ratio analyst_predicted_earnings_to_price cash_earnings_to_price
-enterprise_multiple long_term_relative_strength long_term_relative_alpha
-predicted_growth_three_years historical_earnings_per_share_growth_rate
-historical_sales_per_share_growth_rate revision_ratio
-change_in_analyst_predicted_earnings_to_price change_in_analyst_predicted_earnings_per_share
-dividend_to_price_ratio analyst_predicted_dividend_to_price_ratio residual_volatility
-liquidity leverage earnings_variability profitability earnings_quality earning_yield
-investment_quality growth long_term_reversal analyst_sentiment quality volatility momentum
-value sentiment size non_linear_size comovement
-""".split()
-
-# Industry names.
-INDUSTRY_NAMES = """
-bank computer environment_protection trade_retail power_equipment architectural_decoration
-building_material afhf electronics transportation automobile textile_clothing medical_biology
-real_estate communication public_utility comprehensive mechanical_equipment
-petroleum_petrochemical non_ferrous_metals media household_electric_appliances basic_chemical
-non_bank_finance social_services light_industry_manufacturing national_defense beauty_care
-coal food_beverage steel
-""".split()

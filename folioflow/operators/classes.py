@@ -86,7 +86,8 @@ def asset_classes(
 
 
 def security_classes(links: DataFrame, system: DataFrame, own: DataFrame) -> DataFrame:
-    """Every security's classes, in the system's and the user's classifications."""
+    """Every security's classes, in the system's and the user's classifications. A class counts
+    once, so the links of a code are bounded by the classifications that have it."""
     base = links.select(
         F.col("SECU_CODE").alias("instrument_code"),
         F.col("SYMBOL").alias("symbol"),
@@ -95,14 +96,15 @@ def security_classes(links: DataFrame, system: DataFrame, own: DataFrame) -> Dat
         F.col("CLS_NAME").alias("_link_name"),
     )
     of_system = base.withColumn("cls_name", F.col("_link_name")).join(
-        system.select(F.col("CLS_CODE").alias("cls_code"), F.col("CLS_TYPE").alias("cls_type")), "cls_code"
+        system.select(F.col("CLS_CODE").alias("cls_code"), F.col("CLS_TYPE").alias("cls_type")).distinct(),
+        "cls_code",
     )
     of_user = base.join(
         own.select(
             F.col("CLS_CODE").alias("cls_code"),
             F.col("CLS_TYPE_CODE").alias("cls_type"),
             F.col("CLS_NAME").alias("cls_name"),
-        ),
+        ).distinct(),
         "cls_code",
     )
     columns = ["instrument_code", "symbol", "instrument_name", "cls_type", "cls_code", "cls_name"]

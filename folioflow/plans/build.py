@@ -57,8 +57,13 @@ class BuildContext:
             return None
         if name in self.stored:
             return self.stored[name].where(F.col(TRADE_DATE) < F.lit(self.start))
-        before = replace(self, start=None, end=self.start - timedelta(days=1))
-        return build_dataset(name, before)
+        return build_dataset(name, self.before())
+
+    def before(self) -> "BuildContext | None":
+        """The same reads for all the time before the span; None if the span has no start."""
+        if self.start is None:
+            return None
+        return replace(self, start=None, end=self.start - timedelta(days=1))
 
     def in_span(self, day: str) -> Column:
         return in_span(day, self.start, self.end)
@@ -108,12 +113,19 @@ def restrict(df: DataFrame, codes: DataFrame | None, column: str) -> DataFrame:
 
 
 def store(
-    df: DataFrame, spec: DatasetSpec, path: str, rebuild: bool = False, by_code: bool = False
+    df: DataFrame,
+    spec: DatasetSpec,
+    path: str,
+    rebuild: bool = False,
+    by_code: bool = False,
+    partial: bool = False,
 ) -> None:
-    """Month datasets are upserted by date, by date and code if the load was for some codes;
-    the others are replaced."""
+    """Month datasets are upserted by date, by date and code if the load was for some codes; so
+    are other dated ones if the load was `partial`, for a span or some codes. The rest is
+    replaced."""
     options = {"max_rows_per_file": spec.max_rows_per_file, "sort_within": spec.sort_within}
-    if spec.grain and not rebuild:
+    dated = spec.schema is not None and TRADE_DATE in spec.schema.fieldNames()
+    if dated and (spec.grain or partial) and not rebuild:
         coded = by_code and INSTRUMENT_CODE in spec.schema.fieldNames()
         keys = [TRADE_DATE, INSTRUMENT_CODE] if coded else [TRADE_DATE]
         upsert_by_date(df, path, spec.schema, spec.partition_by, spec.grain, replace_by=keys, **options)
@@ -156,12 +168,15 @@ def run_dataset(
     path = dataset_path(root, name)
     record(ledger.START)
     try:
-        if context.start and spec.grain and dataset_exists(spark, path):
+        dated = spec.schema is not None and TRADE_DATE in spec.schema.fieldNames()
+        if context.start and dated and dataset_exists(spark, path):
             held = read_dataset(
                 spark, path, spec.schema, spec.partition_by, spec.grain, end=context.start - timedelta(days=1)
             )
             context = replace(context, stored={**context.stored, name: held})
-        store(build_dataset(name, context), spec, path, rebuild, context.codes is not None)
+        by_code = context.codes is not None
+        partial = by_code or context.start is not None or context.end is not None
+        store(build_dataset(name, context), spec, path, rebuild, by_code, partial)
     except Exception as error:
         record(ledger.FAILED, str(error)[:500])
         raise

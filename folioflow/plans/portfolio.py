@@ -10,6 +10,7 @@ from folioflow.operators.graph import look_through
 from folioflow.operators.positions import (
     consolidate_positions,
     penetrate_positions,
+    scaled_positions,
     weighted_term,
     with_previous,
     with_repo_term,
@@ -68,15 +69,17 @@ def comb_position(ctx: BuildContext) -> DataFrame:
     return with_repo_term(rows, repo_terms(ctx))
 
 
+def _pairs(ctx: BuildContext) -> DataFrame:
+    return look_through(ctx.dataset("DownRelationPortfolio").where(ctx.in_span("trade_date")))
+
+
 @builds("CombPositionPenetrate")
 def comb_position_penetrate(ctx: BuildContext) -> DataFrame:
-    edges = ctx.dataset("DownRelationPortfolio").where(ctx.in_span("trade_date"))
-    return penetrate_positions(
-        position_detail(ctx),
-        look_through(edges),
-        repo_terms(ctx),
-        earlier=ctx.earlier("CombPositionPenetrate"),
-    )
+    """The stored rows do not tell the share they were scaled with, which orders the rows of a
+    day; so what came before the span is worked out from the sources."""
+    before = ctx.before()
+    earlier = scaled_positions(position_detail(before), _pairs(before)) if before else None
+    return penetrate_positions(position_detail(ctx), _pairs(ctx), repo_terms(ctx), earlier=earlier)
 
 
 @builds("DownRelationPortfolio")

@@ -8,6 +8,7 @@ from folioflow.queries import (  # noqa: F401
     market,
     portfolio,
     reference_data,
+    span_builds,
 )
 
 __all__ = ["QUERIES", "Query"]

@@ -11,6 +11,7 @@ from functools import partial
 
 from pyspark.sql import SparkSession
 
+from folioflow.operators.scenario import CURVE_TENORS
 from folioflow.queries.registry import table
 from folioflow.sources.tables import SourceTables
 
@@ -32,14 +33,9 @@ SELECT 'S' || CAST(l_suppkey AS STRING) AS PRD_CODE,
 FROM {_ITEMS}"""
 
 _MOVES = ", ".join(
-    f"CASE WHEN p_size % {i + 2} <> 0 THEN p_size / {i + 1}.0e0 END AS {name}"
-    for i, name in enumerate(
-        "ZERO_MONTH ONE_MONTH TWO_MONTH THREE_MONTH SIX_MONTH NINE_MONTH ONE_YEAR TWO_YEAR THREE_YEAR "
-        "FOUR_YEAR FIVE_YEAR SIX_YEAR SEVEN_YEAR EIGHT_YEAR NINE_YEAR TEN_YEAR FIFTEEN_YEAR TWENTY_YEAR "
-        "THIRTY_YEAR FORTY_YEAR FIFTY_YEAR".split()
-    )
+    f"CASE WHEN p_size % {i + 2} <> 0 THEN p_size / {i + 1}.0e0 END AS {column}"
+    for i, column in enumerate(CURVE_TENORS)
 )
-_MOVES = re.sub(r"AS (\w+)", r"AS \1_DATA", _MOVES)
 
 _STATEMENT_KEYS = """'C' || CAST(o_custkey AS STRING) AS PARTY_CODE,
        CASE o_orderstatus WHEN 'P' THEN '001' ELSE '003' END AS RPT_TYPE,
@@ -327,10 +323,10 @@ SOURCES = {
     "INFO_BARRA_EXPOSURE_CNE5": _panel(_DAY, audited=True),
     "INFO_BARRA_FACTOR_RETURN_CNE5": _panel(_DAY, audited=True),
     "INFO_BARRA_FACTOR_RETURN_CNE6": _panel(_DAY),
-    "PLATO_CS_PRD_ASSET_CLS_SYS": "SELECT p_brand AS CLS_TYPE, p_type AS CLS_CODE, p_type AS CLS_NAME FROM {part}",
+    "PLATO_CS_PRD_ASSET_CLS_SYS": "SELECT DISTINCT p_brand AS CLS_TYPE, p_type AS CLS_CODE, p_type AS CLS_NAME FROM {part}",
     "PLATO_CS_PRD_ASSET_CLS_SYS_TYPE": "SELECT DISTINCT p_brand AS CLS_TYPE_CODE FROM {part} WHERE p_size > 25",
     "PLATO_CS_PRD_ASSET_CLS_UD": """
-        SELECT 'U' || CAST(c_nationkey AS STRING) AS CLS_TYPE_CODE, c_mktsegment AS CLS_CODE,
+        SELECT DISTINCT 'U' || CAST(c_nationkey AS STRING) AS CLS_TYPE_CODE, c_mktsegment AS CLS_CODE,
                c_mktsegment AS CLS_NAME FROM {customer}""",
     "PLATO_CS_PRD_ASSET_CLS_UD_TYPE": """
         SELECT DISTINCT 'U' || CAST(s_nationkey AS STRING) AS CLS_TYPE_CODE FROM {supplier} WHERE s_acctbal > 0""",

@@ -3,19 +3,30 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from folioflow.operators import classes
+from folioflow.operators.scenario import CURVE_TENORS
 from folioflow.plans import BuildContext, build_dataset
 from folioflow.queries.bindings import bound_sources, with_sources
 from folioflow.queries.registry import FINE_NUDGE, NUDGE, day, query, rounded, table
 from folioflow.schemas import DATASETS, PANEL_TABLES
 
 
+#: What a dataset's query does with its rows at the end, for other queries of the same rows.
+FINISH: dict[str, Callable[[DataFrame], DataFrame]] = {}
+DATES: dict[str, list[str]] = {}
+
+
+def label_of(name: str) -> str:
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()
+
+
 def dataset_query(name: str, sources: str, body: str, finish=None) -> None:
     """Register the builder of a dataset as `dataset_<name>` with its SQL twin."""
-    label = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()
+    label = label_of(name)
 
     def run(spark, sf_dir):
         rows = build_dataset(name, BuildContext(bound_sources(spark, sf_dir)))
@@ -23,6 +34,8 @@ def dataset_query(name: str, sources: str, body: str, finish=None) -> None:
 
     schema = DATASETS[name].schema
     dates = [f.name for f in schema if isinstance(f.dataType, T.DateType)] if schema else ["trade_date"]
+    FINISH[name] = finish or (lambda rows: rows)
+    DATES[name] = dates
     query(with_sources(sources, body), f"dataset_{label}", " ".join(dates))(run)
 
 
@@ -649,37 +662,19 @@ FROM {_OWN} u JOIN {_OWN}_TYPE t ON u.CLS_TYPE_CODE = t.CLS_TYPE_CODE""")
 dataset_query(
     "AssetClassificationRelation",
     f"PLATO_CS_PRD_STR_CLS {_SYSTEM} {_OWN}",
-    f""",
-every AS (
-  SELECT SECU_CODE AS instrument_code, SYMBOL AS symbol, SECU_NAME AS instrument_name, s.CLS_TYPE AS cls_type,
-         l.CLS_CODE AS cls_code, l.CLS_NAME AS cls_name
-  FROM PLATO_CS_PRD_STR_CLS l JOIN {_SYSTEM} s ON s.CLS_CODE = l.CLS_CODE
-  UNION ALL
-  SELECT SECU_CODE, SYMBOL, SECU_NAME, u.CLS_TYPE_CODE, u.CLS_CODE, u.CLS_NAME
-  FROM PLATO_CS_PRD_STR_CLS l JOIN {_OWN} u ON u.CLS_CODE = l.CLS_CODE
-)
-SELECT cls_type, cls_code, cls_name, count(*) AS n_links, count(DISTINCT instrument_code) AS n_instruments,
-       min(symbol) AS first_symbol, max(instrument_name) AS last_name
-FROM every GROUP BY 1, 2, 3""",
-    lambda df: df.groupBy("cls_type", "cls_code", "cls_name").agg(
-        F.count(F.lit(1)).alias("n_links"),
-        F.countDistinct("instrument_code").alias("n_instruments"),
-        F.min("symbol").alias("first_symbol"),
-        F.max("instrument_name").alias("last_name"),
-    ),
+    f"""
+SELECT SECU_CODE AS instrument_code, SYMBOL AS symbol, SECU_NAME AS instrument_name, s.CLS_TYPE AS cls_type,
+       l.CLS_CODE AS cls_code, l.CLS_NAME AS cls_name
+FROM PLATO_CS_PRD_STR_CLS l JOIN {_SYSTEM} s ON s.CLS_CODE = l.CLS_CODE
+UNION ALL
+SELECT SECU_CODE, SYMBOL, SECU_NAME, u.CLS_TYPE_CODE, u.CLS_CODE, u.CLS_NAME
+FROM PLATO_CS_PRD_STR_CLS l JOIN {_OWN} u ON u.CLS_CODE = l.CLS_CODE""",
 )
 
-_TENORS = {
-    "ZERO_MONTH": "0Y", "ONE_MONTH": "0.08Y", "TWO_MONTH": "0.17Y", "THREE_MONTH": "0.25Y", "SIX_MONTH": "0.5Y",
-    "NINE_MONTH": "0.75Y", "ONE_YEAR": "1Y", "TWO_YEAR": "2Y", "THREE_YEAR": "3Y", "FOUR_YEAR": "4Y",
-    "FIVE_YEAR": "5Y", "SIX_YEAR": "6Y", "SEVEN_YEAR": "7Y", "EIGHT_YEAR": "8Y", "NINE_YEAR": "9Y",
-    "TEN_YEAR": "10Y", "FIFTEEN_YEAR": "15Y", "TWENTY_YEAR": "20Y", "THIRTY_YEAR": "30Y", "FORTY_YEAR": "40Y",
-    "FIFTY_YEAR": "50Y",
-}
 _CURVE_MOVES = " UNION ALL ".join(
-    f"SELECT SCENE_FACTOR_REL_ID AS rel, TYPE, '{label}' AS tenor, {name}_DATA AS v "
+    f"SELECT SCENE_FACTOR_REL_ID AS rel, TYPE, '{tenor}' AS tenor, {column} AS v "
     "FROM PLATO_CFG_SCENE_FACTOR_REL_CURVE"
-    for name, label in _TENORS.items()
+    for column, tenor in CURVE_TENORS.items()
 )
 
 dataset_query(

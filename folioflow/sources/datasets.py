@@ -192,7 +192,7 @@ def upsert_by_date(
     path: str,
     schema: T.StructType,
     partition_by: Sequence[str] = (),
-    grain: str = "month",
+    grain: str | None = "month",
     date_column: str = TRADE_DATE,
     replace_by: Sequence[str] | None = None,
     **write_options,
@@ -203,33 +203,35 @@ def upsert_by_date(
     codes replaces by date and code. A null date is a value like any other.
 
     The batch is evaluated once, into a staged table. Its months are few and listed once to
-    prune the stored read. The merged rows are staged as well, since a folder cannot be
+    prune the stored read; without a grain the whole dataset is read and written again. The merged rows are staged as well, since a folder cannot be
     overwritten while it is being read. Folders that lost all their rows are removed after the
     write. Stages are removed at the end.
     """
     spark = batch.sparkSession
     keys = list(replace_by or [date_column])
+    folders = [*partition_by, *([grain] if grain else [])]
+
+    def in_folders(df: DataFrame) -> DataFrame:
+        placed = df.withColumn(grain, partition_key(date_column, grain)) if grain else df
+        return placed.select(*[F.col(c).cast("string").alias(c) for c in folders]).distinct()
+
     with staging(spark) as stage:
         batch = stage(conform(batch, schema))
         emptied = []
         if dataset_exists(spark, path):
-            touched = batch.select(partition_key(date_column, grain).alias("key")).distinct()
-            months = [row["key"] for row in touched.collect()]
-            wanted = F.col(grain).isin([m for m in months if m is not None])
-            if None in months:
-                wanted = wanted | F.col(grain).isNull()
-            stored = (
-                spark.read.schema(stored_schema(schema, partition_by, grain)).parquet(path).where(wanted)
-            )
-            folders = [*partition_by, grain]
-            before = stored.select(*[F.col(c).cast("string").alias(c) for c in folders]).distinct().collect()
-            batch = stage(merge_by(stored.drop(grain), batch, keys))
-            after = batch.withColumn(grain, partition_key(date_column, grain)).select(
-                *[F.col(c).cast("string").alias(c) for c in folders]
-            )
-            emptied = [
-                _folder(spark, path, folders, row) for row in set(before) - set(after.distinct().collect())
-            ]
+            stored = spark.read.schema(stored_schema(schema, partition_by, grain)).parquet(path)
+            if grain:
+                touched = batch.select(partition_key(date_column, grain).alias("key")).distinct()
+                months = [row["key"] for row in touched.collect()]
+                wanted = F.col(grain).isin([m for m in months if m is not None])
+                if None in months:
+                    wanted = wanted | F.col(grain).isNull()
+                stored = stored.where(wanted).drop(grain)
+            before = in_folders(stored).collect() if folders else []
+            batch = stage(merge_by(stored.select(*schema.fieldNames()), batch, keys))
+            if folders:
+                lost = set(before) - set(in_folders(batch).collect())
+                emptied = [_folder(spark, path, folders, row) for row in lost]
         write_dataset(batch, path, schema, partition_by, grain, date_column, **write_options)
         for folder in emptied:
             remove_path(spark, folder)
