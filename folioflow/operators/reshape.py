@@ -41,8 +41,15 @@ def pivot_series(
     df: DataFrame, index: Sequence[str], column: str, values: Sequence, measure: str
 ) -> DataFrame:
     """One column per listed value, for presentation. The values are given, so no extra pass
-    looks for them, and one row per index and value is combined before the shuffle."""
-    return df.groupBy(*index).pivot(column, list(values)).agg(F.first(measure, ignorenulls=True))
+    looks for them, and one row per index and value is combined before the shuffle. A value
+    that is not listed (null included) fails the query; leave such rows out beforehand."""
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    unlisted = F.raise_error(
+        F.concat(F.lit(f"{column} has a value that is not listed: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+    )
+    # The check sits in the measure, which every row hands to the aggregate.
+    checked = df.withColumn(measure, F.when(listed, F.col(measure)).otherwise(unlisted.cast(df.schema[measure].dataType)))
+    return checked.groupBy(*index).pivot(column, list(values)).agg(F.first(measure, ignorenulls=True))
 
 
 def stack_series(

@@ -37,7 +37,7 @@ _MOVES = ", ".join(
     for i, column in enumerate(CURVE_TENORS)
 )
 
-_STATEMENT_KEYS = """'C' || CAST(o_custkey AS STRING) AS PARTY_CODE,
+_STATEMENT_KEYS = """CASE WHEN %s THEN 'C' ELSE 'N' END || CAST(o_custkey AS STRING) AS PARTY_CODE,
        CASE o_orderstatus WHEN 'P' THEN '001' ELSE '003' END AS RPT_TYPE,
        CASE WHEN o_orderpriority = '5-LOW' THEN '003' ELSE '004' END AS RPT_TERM_TYPE,
        CAST(date_trunc('month', o_orderdate) AS DATE) AS %s,
@@ -45,9 +45,10 @@ _STATEMENT_KEYS = """'C' || CAST(o_custkey AS STRING) AS PARTY_CODE,
 
 
 def _statement(day: str, condition: str, **fields: str) -> str:
+    """One of four statements; where the condition fails its company is one of its own."""
     measures = ", ".join(f"{how}(o_totalprice) AS {name}" for name, how in fields.items())
     return (
-        f"SELECT {_STATEMENT_KEYS % day}, {measures} FROM {{orders}} WHERE {condition} GROUP BY 1, 2, 3, 4, 5"
+        f"SELECT {_STATEMENT_KEYS % (condition, day)}, {measures} FROM {{orders}} GROUP BY 1, 2, 3, 4, 5"
     )
 
 
@@ -85,8 +86,8 @@ SOURCES = {
                CASE WHEN p_size = 13 THEN '002' ELSE '001' END AS ISS_MODE
         FROM {part}""",
     "INFO_FI_BONDISSUE": """
-        SELECT 'P' || CAST(p_partkey AS STRING) AS BOND_CODE, 100.0e0 AS PAR_VALUE,
-               p_size / 4.0e0 AS REF_FLD FROM {part} WHERE p_size > 5""",
+        SELECT CASE WHEN p_size > 5 THEN 'P' ELSE 'N' END || CAST(p_partkey AS STRING) AS BOND_CODE,
+               100.0e0 AS PAR_VALUE, p_size / 4.0e0 AS REF_FLD FROM {part}""",
     "INFO_FI_ADVANCE_REPAY": """
         SELECT 'P' || CAST(l_partkey AS STRING) AS BOND_CODE,
                CASE l_returnflag WHEN 'A' THEN '001' ELSE '002' END AS ADV_PAY_MODE,
@@ -107,10 +108,11 @@ SOURCES = {
                CASE WHEN o_orderstatus <> 'P' THEN (o_orderkey % 50 + 1) / 4.0e0 END AS IP_PAR_IR
         FROM {orders}""",
     "INFO_ZG_SEC_CLASSIFICATION": """
-        SELECT 'P' || CAST(p_partkey AS STRING) AS SEC_CODE, p_brand AS CLS_CODE_1ST, p_type AS CLS_CODE_2ND,
+        SELECT CASE WHEN p_size > 2 THEN 'P' ELSE 'N' END || CAST(p_partkey AS STRING) AS SEC_CODE,
+               p_brand AS CLS_CODE_1ST, p_type AS CLS_CODE_2ND,
                CASE WHEN p_size > 10 THEN p_brand END AS CLS_CODE_3RD,
                CASE WHEN p_size > 30 THEN p_type END AS CLS_CODE_4TH
-        FROM {part} WHERE p_size > 2""",
+        FROM {part}""",
     "PROD_FUNDS": "SELECT 'S' || CAST(s_suppkey AS STRING) AS FUND_CODE, s_name AS FUND_NAME FROM {supplier}",
     "INFO_FUND_BASICINFO": """
         SELECT 'C' || CAST(c_custkey AS STRING) AS FUND_CODE, c_name AS CSNAME,
@@ -174,9 +176,9 @@ SOURCES = {
                max(CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END) AS ADJ_UNIT_NAV
         FROM {orders} GROUP BY 1, 2""",
     "INDIC_DERI_PORT_PRFT_IDX": """
-        SELECT 'C' || CAST(o_custkey AS STRING) AS PRD_CODE, CAST(o_orderdate AS DATE) AS BIZ_DATE,
+        SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN 'C' ELSE 'N' END || CAST(o_custkey AS STRING) AS PRD_CODE, CAST(o_orderdate AS DATE) AS BIZ_DATE,
                max(CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 10 END) AS DAY_UNIT_NAV_GROW_RATE
-        FROM {orders} WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2""",
+        FROM {orders} GROUP BY 1, 2""",
     "DM_PORT_ASSET": """
         SELECT 'C' || CAST(o_custkey AS STRING) AS PRODUCT_CODE, CAST(o_orderdate AS DATE) AS BUSI_DATE,
                max(o_totalprice) AS PE_NET_ASSET, max(o_orderkey) % 1000 AS PE_SHARES,
@@ -218,8 +220,8 @@ SOURCES = {
     "INFO_PARA_INFO": """
         SELECT DISTINCT '023' AS PARA_CODE, 'Bond curve' AS PARA_NAME, '031001' AS PARA_OBJ FROM {part}
         UNION ALL SELECT DISTINCT '021', 'Interbank', '031001' FROM {events}
-        UNION ALL SELECT DISTINCT event_type, 'System ' || event_type, '020601' FROM {events}
-        WHERE event_type <> 'error'""",
+        UNION ALL SELECT DISTINCT CASE WHEN event_type = 'error' THEN 'none' ELSE event_type END,
+               'System ' || event_type, '020601' FROM {events}""",
     "INFO_PARTY_INDUSTRY": """
         SELECT 'I' || CAST(user_id AS STRING) AS PARTY_CODE, CAST(ts AS DATE) AS START_DATE,
                event_type AS INDU_SYS_CODE, 'S' || CAST(CAST(floor(value) AS INT) AS STRING) AS INDU_CODE_1ST,
@@ -245,9 +247,9 @@ SOURCES = {
                max(l_extendedprice) AS CLS_PRC, min(l_extendedprice) AS PRE_CLS_PRC
         FROM {{lineitem}} GROUP BY 1, 2""",
     "INFO_STK_VALUATION": f"""
-        SELECT 'P' || CAST(l_partkey AS STRING) AS STK_CODE, {_DAY} AS END_DATE, max(l_extendedprice) AS CV,
-               min(l_extendedprice) AS MV, max(l_discount) AS DVD_YLD
-        FROM {{lineitem}} WHERE l_returnflag <> 'R' GROUP BY 1, 2""",
+        SELECT CASE WHEN l_returnflag <> 'R' THEN 'P' ELSE 'N' END || CAST(l_partkey AS STRING) AS STK_CODE,
+               {_DAY} AS END_DATE, max(l_extendedprice) AS CV, min(l_extendedprice) AS MV, max(l_discount) AS DVD_YLD
+        FROM {{lineitem}} GROUP BY 1, 2""",
     "INFO_PARTY_SHRSTRUC": """
         SELECT 'I' || CAST(o_custkey % 60 AS STRING) AS PARTY_CODE, CAST(o_orderdate AS DATE) AS ANC_DATE,
                CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS SHR_PS,
@@ -266,16 +268,17 @@ SOURCES = {
     "INFO_FI_YC_CNBD_SAMPLE": f"""
         SELECT p_brand AS CURV_CODE, 'Curve ' || p_brand AS CURV_CNAME, 'P' || CAST(l_partkey AS STRING) AS BOND_CODE,
                {_DAY} AS TRD_DATE
-        FROM {_ITEMS} WHERE p_size > 25""",
+        FROM {_ITEMS}""",
     "PLATO_CFG_FACTOR": """
         SELECT 'F' || CAST(p_partkey AS STRING) AS ID, p_brand AS FACTOR_CODE, p_size % 3 AS FACTOR_TYPE
         FROM {part}""",
     "INDIC_BASE_PORT_POS_DTL": _POSITIONS,
     "INDIC_BASE_BOND_POS_DTL": _POSITIONS,
     "INDIC_BASE_REPO_POS_DTL": f"""
-        SELECT 'S' || CAST(l_suppkey AS STRING) AS PRD_CODE, CAST(date_trunc('year', l_shipdate) AS DATE) AS BIZ_DATE,
-               p_brand AS SECU_CODE, l_linenumber AS REMN_TERM, l_extendedprice AS POS_COST
-        FROM {_ITEMS} WHERE l_returnflag = 'R'""",
+        SELECT CASE l_returnflag WHEN 'R' THEN 'S' ELSE 'N' END || CAST(l_suppkey AS STRING) AS PRD_CODE,
+               CAST(date_trunc('year', l_shipdate) AS DATE) AS BIZ_DATE, p_brand AS SECU_CODE,
+               l_linenumber AS REMN_TERM, l_extendedprice AS POS_COST
+        FROM {_ITEMS}""",
     "INDIC_DOWN_RELATION": """
         SELECT 'S' || CAST(k AS STRING) AS PRODUCT_CODE, day AS VALUATION_DATE,
                'S' || CAST(child AS STRING) AS SECU_CODE, (k % 8 + 1) / 8.0e0 AS INVEST_RATE
@@ -324,18 +327,21 @@ SOURCES = {
     "INFO_BARRA_FACTOR_RETURN_CNE5": _panel(_DAY, audited=True),
     "INFO_BARRA_FACTOR_RETURN_CNE6": _panel(_DAY),
     "PLATO_CS_PRD_ASSET_CLS_SYS": "SELECT DISTINCT p_brand AS CLS_TYPE, p_type AS CLS_CODE, p_type AS CLS_NAME FROM {part}",
-    "PLATO_CS_PRD_ASSET_CLS_SYS_TYPE": "SELECT DISTINCT p_brand AS CLS_TYPE_CODE FROM {part} WHERE p_size > 25",
+    "PLATO_CS_PRD_ASSET_CLS_SYS_TYPE": """
+        SELECT DISTINCT CASE WHEN p_size > 25 THEN p_brand ELSE 'none' END AS CLS_TYPE_CODE FROM {part}""",
     "PLATO_CS_PRD_ASSET_CLS_UD": """
         SELECT DISTINCT 'U' || CAST(c_nationkey AS STRING) AS CLS_TYPE_CODE, c_mktsegment AS CLS_CODE,
                c_mktsegment AS CLS_NAME FROM {customer}""",
     "PLATO_CS_PRD_ASSET_CLS_UD_TYPE": """
-        SELECT DISTINCT 'U' || CAST(s_nationkey AS STRING) AS CLS_TYPE_CODE FROM {supplier} WHERE s_acctbal > 0""",
+        SELECT DISTINCT CASE WHEN s_acctbal > 0 THEN 'U' ELSE 'N' END || CAST(s_nationkey AS STRING) AS CLS_TYPE_CODE
+        FROM {supplier}""",
     "PLATO_CS_PRD_STR_CLS": """
         SELECT 'P' || CAST(p_partkey AS STRING) AS SECU_CODE, p_name AS SYMBOL, p_name AS SECU_NAME,
                p_type AS CLS_CODE, p_type AS CLS_NAME FROM {part}
         UNION ALL
         SELECT 'C' || CAST(c_custkey AS STRING), c_name, c_name, c_mktsegment, 'Own' FROM {customer}""",
-    "PLATO_CFG_SCENE": "SELECT DISTINCT p_brand AS ID FROM {part} WHERE p_size > 1",
+    "PLATO_CFG_SCENE": """
+        SELECT DISTINCT CASE WHEN p_size > 1 THEN p_brand ELSE 'none' END AS ID FROM {part}""",
     "PLATO_CFG_SCENE_FACTOR_SINGLE_REL": """
         SELECT 'R' || CAST(p_partkey AS STRING) AS ID, p_brand AS SCENE_ID,
                'F' || CAST(p_partkey AS STRING) AS FACTOR_ID, p_size % 3 AS FACTOR_TYPE, p_name AS FACTOR_NAME,

@@ -319,6 +319,23 @@ def repayment_json(spark, sf_dir):
     )
 
 
+@query("""
+SELECT o_orderpriority AS priority, o_orderstatus AS status, quarter(o_orderdate) AS quarter,
+       round(sum(o_totalprice) FILTER (year(o_orderdate) % 2 = 0), 2) AS "0",
+       round(sum(o_totalprice) FILTER (year(o_orderdate) % 2 = 1), 2) AS "1"
+FROM orders GROUP BY ALL
+""")
+def series_pivot_by_keys(spark, sf_dir):
+    """Several index columns; the pivoted value can only be one of the two listed."""
+    totals = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.quarter("o_orderdate").cast("bigint").alias("quarter"),
+        (F.year("o_orderdate") % 2).alias("half"),
+    ).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return reshape.pivot_series(totals, ["priority", "status", "quarter"], "half", [0, 1], "total")
+
+
 @query("""
 WITH periods AS (
   SELECT o_custkey AS c, o_orderdate AS start, o_orderdate + INTERVAL 90 DAY AS end_, o_totalprice AS rate

@@ -15,18 +15,24 @@ rated AS (
   SELECT p.event_id, s.event_id AS rating_event,
          CASE CAST(floor(s.value) AS BIGINT) % 5 WHEN 0 THEN 'AAA+' WHEN 1 THEN 'AAA-' WHEN 2 THEN 'AA+'
               WHEN 3 THEN 'AA' WHEN 4 THEN '' END AS rating
-  FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+  FROM events p
   ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') s
     ON p.user_id = s.user_id AND p.ts >= s.ts
 )"""
 
 
 def _events(spark, sf_dir, kind):
-    return table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+    """All events; those of other kinds have no user, so they match nothing."""
+    events = table(spark, sf_dir, "events")
+    return events.withColumn("user_id", F.when(F.col("event_type") == kind, F.col("user_id")))
+
+
+def _asking(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
 
 
 def _rated(spark, sf_dir):
-    """Purchases with the user's latest signup, whose value stands for a rating."""
+    """Events with the user's latest signup, whose value stands for a rating."""
     grade = F.floor("value").cast("bigint") % 5
     names = F.array(*[F.lit(r) for r in ("AAA+", "AAA-", "AA+", "AA", "")])
     ratings = _events(spark, sf_dir, "signup").select(
@@ -35,9 +41,8 @@ def _rated(spark, sf_dir):
         F.col("event_id").alias("rating_event"),
         F.element_at(names, grade.cast("int") + 1).alias("rating"),
     )
-    bought = _events(spark, sf_dir, "purchase").select("event_id", "user_id", "ts")
     return ordered.asof_join(
-        bought, ratings, ["user_id"], "ts", "ts", ["rating_event", "rating"],
+        _asking(spark, sf_dir), ratings, ["user_id"], "ts", "ts", ["rating_event", "rating"],
         tie_break=["rating_event"],
     )
 
@@ -59,15 +64,14 @@ def asof_rating_bucket(spark, sf_dir):
 
 @query("""
 SELECT p.event_id, coalesce(s.event_id, -1) AS next_event
-FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+FROM events p
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') s
   ON p.user_id = s.user_id AND p.ts <= s.ts
 """)
 def asof_forward(spark, sf_dir):
     later = _events(spark, sf_dir, "signup").select("user_id", "ts", F.col("event_id").alias("next_event"))
-    bought = _events(spark, sf_dir, "purchase").select("event_id", "user_id", "ts")
     return ordered.asof_join(
-        bought, later, ["user_id"], "ts", "ts", ["next_event"], tie_break=["next_event"],
+        _asking(spark, sf_dir), later, ["user_id"], "ts", "ts", ["next_event"], tie_break=["next_event"],
         direction="forward",
     ).select("event_id", "next_event").fillna(-1, ["next_event"])
 
@@ -442,7 +446,7 @@ def held_quotes(spark, sf_dir):
 @query("""
 WITH history AS (
   SELECT user_id AS issuer_code, CAST(ts AS DATE) AS trade_date, max(event_type) AS sector_code
-  FROM events WHERE value >= 10 GROUP BY 1, 2
+  FROM events WHERE event_id % 3 <> 0 GROUP BY 1, 2
 ), rows_ AS (
   SELECT event_id, user_id AS issuer_code, CAST(ts AS DATE) AS trade_date FROM events
 )
@@ -451,29 +455,33 @@ SELECT event_id, sector_code FROM rows_ r ASOF LEFT JOIN history h
 """)
 def sector_asof(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    history = events.where(F.col("value") >= 10).select(
+    history = events.select(
         F.col("user_id").alias("issuer_code"),
         day("ts").alias("trade_date"),
         F.col("event_type").alias("sector_code"),
-        F.lit("075").alias("industry_code"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("076")).otherwise(F.lit("075")).alias("industry_code"),
     )
     rows = events.select("event_id", F.col("user_id").alias("issuer_code"), day("ts").alias("trade_date"))
     return classes.classify(rows, history, "075").select("event_id", "sector_code")
 
 
 @query("""
-SELECT DISTINCT p_brand AS sector_code, p_type AS sector_name FROM part WHERE p_size BETWEEN 10 AND 30
+SELECT DISTINCT p_brand AS sector_code, p_type AS sector_name FROM part
+WHERE p_size % 5 IN (1, 4) AND p_brand IN ('Brand#1', 'Brand#3', 'Brand#7', 'Brand#12')
 """)
 def sector_names(spark, sf_dir):
-    history = table(spark, sf_dir, "part").where(F.col("p_size").between(10, 30)).select(
-        F.col("p_brand").alias("sector_code"), F.col("p_type").alias("sector_name")
+    history = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("sector_code"),
+        F.col("p_type").alias("sector_name"),
+        (F.col("p_size") % 5).cast("string").alias("industry_code"),
     )
-    return classes.sector_names(history)
+    brands = ["Brand#1", "Brand#3", "Brand#7", "Brand#12"]
+    return classes.sector_names(history, codes=brands, systems=["1", "4"])
 
 
 @query("""
 WITH purchases AS (
-  SELECT event_id, user_id, CAST(ts AS DATE) AS trade_date FROM events WHERE event_type = 'purchase'
+  SELECT event_id, user_id, CAST(ts AS DATE) AS trade_date FROM events
 ), views AS (
   SELECT user_id, CAST(ts AS DATE) AS trade_date, max(value) AS cash_amt_aft
   FROM events WHERE event_type = 'view' GROUP BY 1, 2
@@ -484,7 +492,7 @@ ASOF LEFT JOIN views v ON p.user_id = v.user_id AND p.trade_date >= v.trade_date
 def outstanding_default(spark, sf_dir):
     from folioflow.operators.bonds import outstanding_principal
 
-    valued = _events(spark, sf_dir, "purchase").select("event_id", "user_id", day("ts").alias("trade_date"))
+    valued = _asking(spark, sf_dir).select("event_id", "user_id", day("ts").alias("trade_date"))
     paid = _events(spark, sf_dir, "view").select(
         "user_id", day("ts").alias("trade_date"), F.col("value").alias("cash_amt_aft")
     )

@@ -236,6 +236,21 @@ def look_through(spark, sf_dir):
     return rounded(graph.look_through(ownership(spark, sf_dir)), 9, "invest_rate")
 
 
+@query(f"""
+WITH {EDGES_SQL},
+two AS (
+  SELECT book_id, children_book_id, trade_date, invest_rate FROM edges
+  UNION ALL
+  SELECT a.book_id, b.children_book_id, a.trade_date, a.invest_rate * b.invest_rate
+  FROM edges a JOIN edges b ON a.children_book_id = b.book_id AND a.trade_date = b.trade_date
+)
+SELECT book_id AS root_book_id, children_book_id, trade_date, round(sum(invest_rate), 9) AS invest_rate
+FROM two GROUP BY 1, 2, 3
+""", dates="trade_date")
+def look_through_two_levels(spark, sf_dir):
+    return rounded(graph.look_through(ownership(spark, sf_dir), max_depth=2), 9, "invest_rate")
+
+
 @query(f"""
 WITH RECURSIVE {POSITIONS_SQL}, {PAIRS_SQL},
 terms AS (

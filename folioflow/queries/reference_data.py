@@ -110,20 +110,18 @@ def class_union(spark, sf_dir):
     own = customers.select(
         segment.alias("CLS_TYPE_CODE"), segment.alias("CLS_CODE"), segment.alias("CLS_NAME")
     )
-    big = parts.where(F.col("p_size") > 25).select(F.col("p_brand").alias("CLS_TYPE_CODE")).distinct()
-    rich = customers.where(F.col("c_acctbal") > 0).select(segment.alias("CLS_TYPE_CODE")).distinct()
+    big = parts.select(F.when(F.col("p_size") > 25, F.col("p_brand")).alias("CLS_TYPE_CODE")).distinct()
+    rich = customers.select(F.when(F.col("c_acctbal") > 0, segment).alias("CLS_TYPE_CODE")).distinct()
     return classes.asset_classes(system, big, own, rich)
 
 
 @query("""
-SELECT CAST(l_partkey AS BIGINT) AS code FROM lineitem WHERE l_returnflag = 'R'
-UNION SELECT p_partkey FROM part WHERE p_type = 'PROMO'
+SELECT CAST(l_partkey AS BIGINT) AS code FROM lineitem UNION SELECT p_partkey FROM part
 """)
 def code_union(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    promo = table(spark, sf_dir, "part").where(F.col("p_type") == "PROMO")
+    items, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     return union_distinct(
-        [items.select(F.col("l_partkey").alias("code")), promo.select(F.col("p_partkey").alias("code"))]
+        [items.select(F.col("l_partkey").alias("code")), parts.select(F.col("p_partkey").alias("code"))]
     )
 
 
