@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F, types as T
 
 from folioflow.functions.dates import partition_key
-from folioflow.schemas import DATASETS
+from folioflow.schemas import DatasetSpec
 from folioflow.sources import datasets, ledger, lineage, tables
 from folioflow.sources.storage import ensure_checkpoint_dir
 from folioflow.queries.registry import day, month, query, rounded, table
@@ -241,39 +241,33 @@ def dataset_audit(spark, sf_dir):
     return lineage.audit_all({n: (table(spark, sf_dir, n), d) for n, d in audited.items()})
 
 
-def _declared_values() -> str:
-    rows = []
-    for spec in (s for s in DATASETS.values() if s.schema is not None):
-        sources = 0
-        for f in spec.schema:
-            named = len(f.metadata.get("source_table", {})) + ("table_field" in f.metadata)
-            sources += max(1, named)
-        rows.append(f"('{spec.category}', '{spec.name}', {sources}, {len(spec.schema)})")
-    return ", ".join(rows)
-
-
-@query(f"""
-SELECT category, model, CAST(n_sources AS BIGINT) AS n_sources, CAST(n_fields AS BIGINT) AS n_fields
-FROM (VALUES {_declared_values()}) declared(category, model, n_sources, n_fields)
-UNION ALL SELECT 'Stored', 'orders', count(*), 6 FROM orders
-UNION ALL SELECT 'Stored', 'lineitem', count(*), 11 FROM lineitem
+@query("""
+SELECT 'Portfolio' AS category, 'orders' AS model, f.field_name, f.field_type, f.description, 'orders' AS table_name,
+       f.table_field, n.n_rows, n.n_null_cells
+FROM (VALUES ('instrument_code', 'string', 'customer', 'o_custkey'), ('trade_date', 'date', '-', 'o_orderdate'),
+             ('order_id', 'bigint', 'number of the order', 'o_orderkey'), ('amount', 'double', '-', 'o_totalprice'))
+     f(field_name, field_type, description, table_field),
+     (SELECT count(*) AS n_rows, 4 * count(*) - count(o_custkey) - count(o_orderdate) - count(o_orderkey)
+             - count(o_totalprice) AS n_null_cells FROM orders) n
 """)
 def field_catalog(spark, sf_dir):
-    """Declared fields of the datasets beside the audited size of the given tables."""
-    declared = lineage.field_catalog(spark, [s for s in DATASETS.values() if s.schema is not None])
-    sizes = lineage.audit_all(
-        {n: (table(spark, sf_dir, n), d) for n, d in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))}
-    )
-    fields = declared.groupBy("category", "model").agg(
-        F.count(F.lit(1)).alias("n_sources"), F.countDistinct("field_name").alias("n_fields")
+    """Fields and lineage of a stored table, read back from its files, beside its audited size."""
+    path = _scratch(spark, "orders-catalog")
+    notes = {"instrument_code": "customer", "order_id": "number of the order"}
+    described = T.StructType(
+        [
+            T.StructField(f.name, f.dataType, True, {**f.metadata, **({"description": notes[f.name]} if f.name in notes else {})})
+            for f in ORDER_SCHEMA
+        ]
     )
-    loaded = sizes.select(
-        F.lit("Stored").alias("category"),
-        F.col("dataset").alias("model"),
-        F.col("n_rows").alias("n_sources"),
-        F.col("n_columns").alias("n_fields"),
+    datasets.write_dataset(_orders(spark, sf_dir), path, described)
+    stored = spark.read.parquet(path)
+    spec = DatasetSpec(category="Portfolio", name="orders", schema=stored.schema, main_table="orders")
+    size = lineage.audit("orders", stored, "trade_date")
+    fields = lineage.field_catalog(spark, [spec]).withColumnRenamed("field_description", "description")
+    return fields.join(size.select(F.col("dataset").alias("model"), "n_rows", "n_null_cells"), "model").select(
+        "category", "model", "field_name", "field_type", "description", "table_name", "table_field", "n_rows", "n_null_cells"
     )
-    return fields.unionByName(loaded)
 
 
 @query("""
@@ -302,6 +296,22 @@ def newest_first_read(spark, sf_dir):
     )
 
 
+@query("""
+SELECT CAST(o_custkey AS STRING) AS instrument_code, CAST(o_orderdate AS DATE) AS trade_date,
+       o_totalprice AS amount, o_orderkey AS order_id
+FROM orders ORDER BY CAST(o_orderdate AS DATE) DESC, o_totalprice DESC, o_orderkey LIMIT 100
+""", dates="trade_date")
+def newest_rows(spark, sf_dir):
+    """A report of the newest rows: by date descending, then amount descending, then id."""
+    return datasets.filter_dataset(
+        _orders(spark, sf_dir),
+        columns=["instrument_code", "trade_date", "amount", "order_id"],
+        newest_first=True,
+        sort=[("amount", False), ("order_id", True)],
+        transform=lambda df: df.limit(100),
+    )
+
+
 @query("""
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS N_ROWS,
        round(sum(l_extendedprice), 2) AS AMOUNT

@@ -34,6 +34,14 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Write the rows as parquet to the shared folder and read on from there. What it wrote
+    stays, since frames that read it may be used later."""
+    path = shared_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from folioflow.operators.filters import first_match, held_codes
 from folioflow.plans import BuildContext, run_dataset
+from folioflow.sources.storage import ensure_checkpoint_dir
 from folioflow.plans.build import dataset_path
 from folioflow.schemas import CATEGORIES, DATASETS
 from folioflow.sources import datasets, ledger, lineage, tables
@@ -59,6 +60,117 @@ def test_upsert_into_nothing_and_rebuild(spark, tmp_path):
     assert contents(spark, path) == sorted(STORED[2:])
 
 
+BOOKED = T.StructType([*SCHEMA, T.StructField("currency", T.StringType())])
+
+
+def booked(spark, rows):
+    rows = [(c, date.fromisoformat(d) if d else None, v, k) for c, d, v, k in rows]
+    return spark.createDataFrame(rows, BOOKED)
+
+
+def booked_contents(spark, path, partition_by=("currency",)):
+    rows = datasets.read_dataset(spark, path, BOOKED, partition_by, "month").select(*BOOKED.fieldNames()).collect()
+    return sorted(((r[0], str(r[1]) if r[1] else None, r[2], r[3]) for r in rows), key=repr)
+
+
+def test_upsert_empties_folders_that_lose_all_rows(spark, tmp_path):
+    path = str(tmp_path / "q")
+    datasets.write_dataset(booked(spark, [("a", "2022-01-05", 1.0, "USD/x y"), ("b", "2022-01-06", 2.0, "CNY")]), path, BOOKED, ["currency"], "month")
+    datasets.upsert_by_date(booked(spark, [("a", "2022-01-05", 3.0, "CNY")]), path, BOOKED, ["currency"], "month")
+    assert booked_contents(spark, path) == [("a", "2022-01-05", 3.0, "CNY"), ("b", "2022-01-06", 2.0, "CNY")]
+
+
+def test_upsert_keeps_and_replaces_null_dates(spark, tmp_path):
+    path = str(tmp_path / "q")
+    datasets.write_dataset(booked(spark, [("a", None, 1.0, "CNY"), ("b", "2022-01-06", 2.0, "CNY")]), path, BOOKED, (), "month")
+    datasets.upsert_by_date(booked(spark, [("c", "2022-01-07", 3.0, "CNY")]), path, BOOKED, (), "month")
+    assert len(booked_contents(spark, path, ())) == 3
+    datasets.upsert_by_date(booked(spark, [("d", None, 4.0, "CNY")]), path, BOOKED, (), "month")
+    assert [r[0] for r in booked_contents(spark, path, ())] == ["b", "c", "d"]
+
+
+def test_upsert_by_code_leaves_other_codes(spark, tmp_path):
+    path = str(tmp_path / "q")
+    both = ["trade_date", "instrument_code"]
+    for code, value in (("a", 1.0), ("b", 2.0), ("a", 3.0)):
+        datasets.upsert_by_date(quotes(spark, [(code, "2022-01-05", value)]), path, SCHEMA, grain="month", replace_by=both)
+    assert contents(spark, path) == [("a", "2022-01-05", 3.0), ("b", "2022-01-05", 2.0)]
+
+
+def test_upsert_evaluates_its_batch_once_and_cleans_up(spark, tmp_path):
+    path = str(tmp_path / "q")
+    datasets.write_dataset(quotes(spark, STORED), path, SCHEMA, grain="month")
+    seen = spark.sparkContext.accumulator(0)
+    batch = quotes(spark, [("c", "2022-01-04", 9.0)])
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    counted = spark.createDataFrame(batch.rdd.mapPartitions(count), SCHEMA)
+    ensure_checkpoint_dir(spark)
+    shared = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    files = shared.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = {str(f.getPath()) for f in files.listStatus(shared)}
+    datasets.upsert_by_date(counted, path, SCHEMA, grain="month")
+    assert seen.value == 1
+    assert {str(f.getPath()) for f in files.listStatus(shared)} == before
+
+
+def test_runs_cover_spans_not_end_dates(spark, tmp_path):
+    log = str(tmp_path / "ledger")
+    jan, feb = (date(2024, 1, 1), date(2024, 1, 31)), (date(2024, 2, 1), date(2024, 2, 29))
+    for (start, end), scope in ((jan, "*"), (feb, "2 codes 7")):
+        ledger.record(spark, log, "X", end, ledger.START, start_date=start, scope=scope)
+        ledger.record(spark, log, "X", end, ledger.COMPLETE, start_date=start, scope=scope)
+    events = ledger.read_ledger(spark, log)
+    assert ledger.is_complete(events, "X", jan[1], jan[0])
+    assert ledger.is_complete(events, "X", date(2024, 1, 20), date(2024, 1, 10))
+    assert not ledger.is_complete(events, "X", date(2020, 1, 31), date(2020, 1, 1))
+    assert not ledger.is_complete(events, "X", jan[1])
+    assert not ledger.is_complete(events, "X", feb[1], jan[0])
+    assert ledger.is_complete(events, "X", feb[1], jan[0], "2 codes 7")
+    ledger.record(spark, log, "X", date(2024, 1, 5), ledger.FAILED, start_date=date(2024, 1, 5))
+    assert not ledger.is_complete(ledger.read_ledger(spark, log), "X", jan[1], jan[0])
+
+
+class StubReader:
+    def __init__(self, frame, calls):
+        self.frame, self.calls = frame, calls
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((table, options))
+        return self.frame
+
+
+def test_jdbc_reads_are_split_by_month_or_by_range(spark, context):
+    calls = []
+    frame = context.sources.frames["INFO_FX_EXCHRATE"]
+    stub = type("Stub", (), {"read": property(lambda self: StubReader(frame, calls))})()
+    place = tables.Location("jdbc", {"url": "jdbc:none", "user": "u"}, splits={"PROD_FUNDS": ("ID", 0, 900, 3)})
+    sources = tables.SourceTables(stub, business=place)
+    span = BuildContext(sources, date(2022, 1, 4), date(2022, 3, 2))
+    assert span.table("INFO_FX_EXCHRATE", "END_DATE").count() == 2
+    span.table("PROD_FUNDS")
+    BuildContext(sources, end=date(2022, 1, 3)).table("INFO_FX_EXCHRATE", "END_DATE")
+    assert calls[0][1]["predicates"] == [
+        "END_DATE between '2022-01-04' and '2022-01-31'",
+        "END_DATE between '2022-02-01' and '2022-02-28'",
+        "END_DATE between '2022-03-01' and '2022-03-02'",
+    ]
+    assert (calls[1][1]["column"], calls[1][1]["numPartitions"]) == ("ID", 3)
+    assert "predicates" not in calls[2][1]
+
+
+def test_months_are_not_read_for_other_spans(spark, context):
+    inside = BuildContext(context.sources, date(2022, 1, 4), date(2022, 1, 4))
+    outside = BuildContext(context.sources, date(2022, 2, 1), date(2022, 2, 28))
+    assert inside.table("INFO_FX_EXCHRATE", "END_DATE").count() == 2
+    assert outside.table("INFO_FX_EXCHRATE", "END_DATE").count() == 0
+    assert inside.table("INFO_FX_EXCHRATE", "END_DATE", history=True).count() == 2
+
+
 def test_read_filters_and_prunes_months(spark, tmp_path):
     path = str(tmp_path / "q")
     datasets.write_dataset(quotes(spark, STORED), path, SCHEMA, grain="month")
