@@ -340,34 +340,44 @@ def series_pivot_by_keys(spark, sf_dir):
 WITH periods AS (
   SELECT o_custkey AS c, o_orderdate AS start, o_orderdate + INTERVAL 90 DAY AS end_, o_totalprice AS rate
   FROM orders
+), terms AS (
+  SELECT o_custkey AS c, CAST(max(o_orderdate) FILTER (o_orderstatus = 'F') AS DATE) AS expected,
+         CAST(max(o_orderdate) AS DATE) AS actual,
+         max(o_orderpriority) FILTER (o_orderpriority > '3') AS frequency
+  FROM orders GROUP BY 1
 )
 SELECT c_custkey AS instrument_code,
        CASE WHEN c_mktsegment = 'BUILDING' THEN CASE WHEN c_acctbal < 100 THEN 'DiscountBond'
             ELSE 'ZeroCouponBond' END ELSE 'CouponBond' END AS pricing_type,
-       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Once' END AS pricing_frequency,
+       coalesce(frequency, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Once' END) AS pricing_frequency,
+       coalesce(expected, actual) AS pricing_maturity,
        count(start) FILTER (start <= DATE '1998-06-30') AS n_periods,
        max(strftime(end_, '%Y%m%d')) FILTER (start <= DATE '1998-06-30') AS last_end,
        round(coalesce(sum(rate) FILTER (start <= DATE '1998-06-30'), 0), 2) AS rates
-FROM customer LEFT JOIN periods ON c_custkey = c
+FROM customer LEFT JOIN periods ON c_custkey = c LEFT JOIN terms ON c_custkey = terms.c
 GROUP BY ALL
-""")
+""", dates="pricing_maturity")
 def coupon_inputs(spark, sf_dir):
     building = F.col("c_mktsegment") == "BUILDING"
     basic = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("instrument_code"),
         F.when(building, F.lit("ZeroCouponBond")).otherwise(F.lit("CouponBond")).alias("coupon_type"),
         F.col("c_acctbal").alias("issue_price"),
-        F.lit(None).cast("date").alias("estimated_maturity_date"),
-        F.lit(None).cast("date").alias("maturity_date"),
-        F.lit(None).cast("string").alias("pay_frequency"),
         F.lit("19980630").alias("settle_date"),
     )
+    on = day("o_orderdate")
+    terms = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("instrument_code")).agg(
+        F.max(F.when(F.col("o_orderstatus") == "F", on)).alias("estimated_maturity_date"),
+        F.max(on).alias("maturity_date"),
+        F.max(F.when(F.col("o_orderpriority") > "3", F.col("o_orderpriority"))).alias("pay_frequency"),
+    )
     periods = bonds.coupon_periods(_customer_coupons(spark, sf_dir))
-    inputs = bonds.coupon_inputs(basic.join(periods, "instrument_code", "left"))
-    return inputs.select(
+    known = basic.join(terms, "instrument_code", "left").join(periods, "instrument_code", "left")
+    return bonds.coupon_inputs(known).select(
         "instrument_code",
         "pricing_type",
         "pricing_frequency",
+        "pricing_maturity",
         F.size("interest_start_date").cast("bigint").alias("n_periods"),
         F.array_max("interest_end_date").alias("last_end"),
         F.round(
