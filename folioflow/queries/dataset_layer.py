@@ -263,10 +263,12 @@ def field_catalog(spark, sf_dir):
     datasets.write_dataset(_orders(spark, sf_dir), path, described)
     stored = spark.read.parquet(path)
     spec = DatasetSpec(category="Portfolio", name="orders", schema=stored.schema, main_table="orders")
-    size = lineage.audit("orders", stored, "trade_date")
+    size = lineage.audit("orders", stored, "trade_date").first()
     fields = lineage.field_catalog(spark, [spec]).withColumnRenamed("field_description", "description")
-    return fields.join(size.select(F.col("dataset").alias("model"), "n_rows", "n_null_cells"), "model").select(
-        "category", "model", "field_name", "field_type", "description", "table_name", "table_field", "n_rows", "n_null_cells"
+    return fields.select(
+        "category", "model", "field_name", "field_type", "description", "table_name", "table_field",
+        F.lit(size["n_rows"]).cast("long").alias("n_rows"),
+        F.lit(size["n_null_cells"]).cast("long").alias("n_null_cells"),
     )
 
 

@@ -20,10 +20,12 @@ def test_equals_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name) is None
 
 
-WRITES = {"month_partitions", "quarter_partitions"}
+WRITES = {"month_partitions", "quarter_partitions", "field_catalog"}
+#: Built by running their builders several times; the plans are those of the dataset queries.
+SPANS = {n for n in QUERIES if n.startswith("span_")} | {"backfill_then_read"}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES - SPANS))
 def test_plan(spark, name):
     """No Python in the plan, no products of two sides."""
     execution = QUERIES[name].run(spark, SF_DIR)._jdf.queryExecution()
