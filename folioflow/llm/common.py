@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,35 @@ SLICE_BYTES = 2 << 20
 NO_ID = -(1 << 63)
 
 
+#: Arrow batches between Spark and Python: texts can be long, so batches are short.
+BATCH_ROWS = 2_000
+BATCH_BYTES = 8 << 20
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches for texts, unless they are bounded tighter already."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """Give memory back to the system when a task ends: Python workers outlive their tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,6 +71,7 @@ def texts(docs: DataFrame) -> DataFrame:
     texts is two rows, and a row that repeats exactly gets the same answer twice. Null ids take
     part like any other. Columns of other names never get in, so they cannot clash.
     """
+    short_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         "doc_id",

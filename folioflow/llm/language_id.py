@@ -8,9 +8,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from folioflow.llm.common import table
+from folioflow.llm.common import short_batches, table
 
 #: Bounds of the sample a dictionary is made of: documents per language, bytes of each, bytes in all.
 SAMPLE_DOCUMENTS = 256
@@ -118,32 +118,26 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     Columns of the input with these three names are replaced. One pass, no shuffle.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*kept)
-    text_at = kept.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    short_batches(docs.sparkSession)
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classifier = Classifier(dictionaries)
-        for batch in batches:
-            said = [classifier.classify(t.as_py()) for t in batch.column(text_at)]
-            yield pa.RecordBatch.from_arrays(
+        for texts in batches:
+            said = [classifier.classify(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
                 [
-                    *batch.columns,
                     pa.array([v.lang for v in said], pa.string()),
                     pa.array([v.score for v in said], pa.float64()),
-                    pa.array([v.lang == UNKNOWN or v.score < min_margin for v in said], pa.bool_()),
                 ],
-                names=[*batch.schema.names, "lang_pred", "score", "rejected"],
+                names=["lang_pred", "score"],
             )
 
-    schema = T.StructType(
-        [
-            *rows.schema,
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("rejected", T.BooleanType()),
-        ]
-    )
-    return rows.mapInArrow(run, schema)
+    # Only the texts go to Python and only the verdicts come back.
+    judged = docs.select(*kept, judge(F.col("text").cast("string")).alias("_verdict"))
+    narrow = (F.col("_verdict.lang_pred") == UNKNOWN) | (F.col("_verdict.score") < min_margin)
+    return judged.select(*kept, "_verdict.lang_pred", "_verdict.score", narrow.alias("rejected"))
 
 
 def held_out() -> Column:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from folioflow.llm.common import stage
+from folioflow.llm.common import released, stage
 
 #: Postings per key range aimed at: a range is sorted in one task.
 RANGE_BYTES = 16 << 20
@@ -102,7 +102,7 @@ def _join_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidate_edges(blocks: DataFrame) -> DataFrame:
     """Star edges (src, dst) between items that share a key, from packed postings."""
     ordered = blocks.repartition("range").sortWithinPartitions("range")
-    return ordered.mapInArrow(_join_ranges, EDGES_DDL).distinct()
+    return ordered.mapInArrow(released(_join_ranges), EDGES_DDL).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -225,7 +225,7 @@ def solve_groups(rows: DataFrame, solve: Callable[[list[bytes]], np.ndarray]) ->
         .repartition(n_tasks, "group")
         .sortWithinPartitions("group")
     )
-    return ordered.mapInArrow(run, LINKS_DDL)
+    return ordered.mapInArrow(released(run), LINKS_DDL)
 
 
 def classes(links: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -14,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioflow.llm.arrays import mixed, run_starts, spread
-from folioflow.llm.common import slices, table
+from folioflow.llm.common import released, short_batches, slices, table
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -359,12 +358,6 @@ def load_pieces(path: str) -> Pieces:
     return _loaded[path]
 
 
-@lru_cache(1)
-def merge_dropout(path: str, dropout: float, seed: int, variants: int) -> MergeDropout:
-    """One encoder per worker, kept between tasks with its store."""
-    return MergeDropout(load_pieces(path), dropout, seed, variants)
-
-
 def model_path(name: str = MODEL) -> str:
     import public_tokenizers
 
@@ -378,15 +371,17 @@ def encode_pieces(
     seed: int = SEED,
     variants: int = VARIANTS,
     to: str = "piece_ids",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add the piece ids of `text` (array<int>) as column `to` (replaced if it is there).
+    """Add the piece ids of `text` (array<int>) as column `to` (replaced if it is there) to the
+    columns of `docs`, or to those in `keep`.
 
     The draw of a text is keyed by the seed and its doc_id, so a row's result does not depend
     on its neighbours, partitions or attempts, and rows that repeat get the same ids. A null or
     empty text has no ids; a null doc_id counts as 0. One pass, no shuffle; a worker holds one
     slice of texts, and a text of any length is a slice of its own.
     """
-    kept = [c for c in docs.columns if c != to]
+    kept = [c for c in (keep or docs.columns) if c != to]
     rows = docs.select(
         *kept,
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
@@ -395,7 +390,7 @@ def encode_pieces(
     n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = merge_dropout(path, dropout, seed, variants)
+        encoder = MergeDropout(load_pieces(path), dropout, seed, variants)
         for batch in batches:
             for first, last, raw, _ in slices(batch, "_text", SLICE_BYTES):
                 part = batch.slice(first, last - first)
@@ -411,7 +406,8 @@ def encode_pieces(
 
     ids_type = T.ArrayType(T.IntegerType())
     schema = T.StructType([*docs.select(*kept).schema, T.StructField(to, ids_type)])
-    return rows.mapInArrow(run, schema)
+    short_batches(docs.sparkSession)
+    return rows.mapInArrow(released(run), schema)
 
 
 def decode_pieces(encoded: DataFrame, path: str, ids: str = "piece_ids", to: str = "decoded") -> DataFrame:
@@ -444,7 +440,8 @@ def decode_pieces(encoded: DataFrame, path: str, ids: str = "piece_ids", to: str
                 first = last
 
     schema = T.StructType([*encoded.select(*kept).schema, T.StructField(to, T.StringType())])
-    return rows.mapInArrow(run, schema)
+    short_batches(encoded.sparkSession)
+    return rows.mapInArrow(released(run), schema)
 
 
 def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
