@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.llm.arrays import code_points, mixed, prefix_hash, run_starts, spread, substring_hash
-from folioflow.llm.common import ROW, public_id, slices, table, texts
+from folioflow.llm.common import ROW, public_id, released, slices, table, texts
 
 #: A document holds an item if some stretch of it is within this share of the item's length in edits.
 EDIT_SHARE = 0.1
@@ -31,6 +31,8 @@ TARGET_RECALL = 0.99
 WALKS = 8
 MAX_STEPS = 192
 SEED = 7
+#: Texts searched at once; few large slices keep the array calls long.
+SLICE_BYTES = 4 << 20
 #: Windows embedded at once.
 WINDOW_BATCH = 65_536
 
@@ -177,6 +179,8 @@ class ItemIndex:
         ) if hashes else np.zeros((3, 0), np.uint64)
         self.words, first = np.unique(place[0], return_index=True)
         self.first = np.r_[first, place.shape[1]]
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(self.words >> np.uint64(48)).astype(np.int64)] = True
         self.offsets = place[1].astype(np.int64)
         self.window = place[2].astype(np.int64)
 
@@ -193,9 +197,11 @@ class ItemIndex:
         start = np.sort(np.r_[start, cut[broken]])
         end = np.sort(np.r_[end, cut[broken]])
         hashed = substring_hash(prefix_hash(chars), start, end)
-        at = np.minimum(np.searchsorted(self.words, hashed), len(self.words) - 1)
-        hit = np.flatnonzero(self.words[at] == hashed)
-        at = at[hit]
+        # Most words are no anchor; their upper 16 bits tell.
+        hit = np.flatnonzero(self.maybe[(hashed >> np.uint64(48)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.words, hashed[hit]), len(self.words) - 1)
+        same = self.words[at] == hashed[hit]
+        hit, at = hit[same], at[same]
         n = self.first[at + 1] - self.first[at]
         which = spread(self.first[at], n)
         return np.unique(
@@ -217,9 +223,12 @@ class ItemIndex:
                 low = np.maximum(begin, edges[text])
                 high = np.minimum(begin + wide, edges[text + 1])
                 keys = embedded_keys(chars, low, np.maximum(high, low), tables.steps)
-                left = np.searchsorted(tables.keys, keys.ravel(), "left")
-                n = np.searchsorted(tables.keys, keys.ravel(), "right") - left
-                row = np.repeat(np.repeat(np.arange(len(begin)), keys.shape[1]), n)
+                key = keys.ravel()
+                left = np.searchsorted(tables.keys, key, "left")
+                hit = np.flatnonzero(tables.keys[np.minimum(left, len(tables.keys) - 1)] == key)
+                left = left[hit]
+                n = np.searchsorted(tables.keys, key[hit], "right") - left
+                row = np.repeat(hit // keys.shape[1], n)
                 item = tables.owners[spread(left, n)]
                 for w, i in np.unique(np.stack([row, item]), axis=1).T.tolist():
                     k = self.edits[i]
@@ -228,6 +237,10 @@ class ItemIndex:
                     if (x, i) in tried or y <= x:
                         continue
                     tried.add((x, i))
+                    # The item's head alone is within the bound, if the whole item is.
+                    head = self.texts[i][: 3 * k + 8]
+                    if len(head) < len(self.texts[i]) and best_match(head, chars[x : min(y, x + 6 * k + 8)])[0] > k:
+                        continue
                     distance, end = best_match(self.texts[i], chars[x:y])
                     if distance <= k:
                         back, length = best_match(self.texts[i][::-1], chars[x : x + end][::-1])
@@ -271,7 +284,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_S
             index = ItemIndex(held, edit_share)
             for batch in batches:
                 ids = [batch.column(c).to_numpy(zero_copy_only=False) for c in ROW]
-                for first, _, raw, offsets in slices(batch):
+                for first, _, raw, offsets in slices(batch, limit=SLICE_BYTES):
                     chars, edges = code_points(raw, offsets)
                     found = index.search(chars, edges) if len(chars) else []
                     if not found:
@@ -290,7 +303,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_S
                         names=[*ROW, "item_id", "distance", "start", "end"],
                     )
 
-        part = rows.mapInArrow(run, _MATCH_DDL)
+        part = rows.mapInArrow(released(run), _MATCH_DDL)
         out = part if out is None else out.unionByName(part)
     return out
 
