@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.llm.arrays import classes_of, mixed, run_starts, shingle_sets, spread
-from folioflow.llm.common import ROW, public_id, slices, stage, table, texts
+from folioflow.llm.common import ROW, public_id, released, slices, stage, table, texts
 from folioflow.llm.linking import (
     BLOCKS_DDL,
     candidate_edges,
@@ -26,12 +26,19 @@ from folioflow.operators.sizes import broadcast_if_small
 
 #: Distinct sets, and shingles of them, that meet in one task.
 GROUP_SETS = 4096
-GROUP_SHINGLES = 4_000_000
+GROUP_SHINGLES = 2_000_000
 #: Wanted sets up to this number are looked up in memory, more by a shuffle.
 BROADCAST_SETS = 500_000
+#: Shingles are common if so many documents of a sample of about so many hold them; the list that
+#: goes to the workers is bounded.
+COMMON_TIMES = 3
+SAMPLE_ROWS = 10_000
+COMMON_MOST = 1 << 17
 #: Rows of one block of the product, and blocks of columns between two looks at the bounds.
 BLOCK_ROWS = 64
 COLUMN_BLOCKS = 4
+#: Products added up at once.
+CELLS = 2_000_000
 SLICE_BYTES = 4 << 20
 #: Ratio of the sizes at the ends of a size band.
 BAND = 1.6
@@ -73,15 +80,59 @@ def column_blocks(rule: Threshold, band: np.ndarray, starts: np.ndarray) -> np.n
     return most + most // 32 + 2
 
 
-def block_keys(shingle: np.ndarray, sizes: np.ndarray, rule: Threshold) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class _Cells:
+    """What some sets have in their blocks of columns."""
+
+    owner: np.ndarray
+    block: np.ndarray
+    content: np.ndarray
+    filled: np.ndarray
+
+    def keys(self, band: np.ndarray, scheme: int) -> np.ndarray:
+        name = (band[self.owner] << 32) + (self.block << 1) + scheme
+        return mixed(self.content ^ mixed(name.astype(np.uint64)))
+
+
+def _cells(shingle: np.ndarray, first: np.ndarray, n: np.ndarray, blocks: np.ndarray) -> _Cells:
+    """Cut each set, a run of sorted shingles, into its number of blocks."""
+    local = np.repeat(np.arange(len(n)), n)
+    own = shingle[spread(first, n)]
+    # The upper 32 bits of the hash choose the block; a block is a run.
+    block = ((own >> np.uint64(32)) * blocks[local].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = (block[1:] != block[:-1]) | (local[1:] != local[:-1])
+    heads = np.flatnonzero(fresh)
+    content = np.add.reduceat(mixed(own), heads) if len(heads) else np.zeros(0, np.uint64)
+    return _Cells(local[heads], block[heads], content, np.bincount(local[heads], minlength=len(n)))
+
+
+def _empty_cells(cells: _Cells, blocks: np.ndarray, sets: np.ndarray) -> _Cells:
+    """The blocks in which these sets have nothing."""
+    base = run_starts(blocks)
+    every = spread(base[sets], blocks[sets])
+    owner = np.repeat(sets, blocks[sets])
+    empty = ~np.isin(every, base[cells.owner] + cells.block)
+    owner = owner[empty]
+    return _Cells(owner, every[empty] - base[owner], np.zeros(len(owner), np.uint64), cells.filled)
+
+
+def block_keys(
+    shingle: np.ndarray, sizes: np.ndarray, rule: Threshold, common: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Keys of every set such that linked sets share one: (key, index of the set).
 
     The columns are cut by hash into more blocks than a linking pair has differences, so the
     pair agrees entirely in some block: the key is the hash of what the set has in the block.
+    Leaving columns out does not add differences, so the keys are made without the `common`
+    shingles (sorted), which many documents share and which would tie strangers together; which
+    ones are left out changes the work, never the links.
+
     If one of the two has shingles in as many blocks as there may be differences and one more,
-    the pair agrees in a block that is not empty. Sets for which that does not hold (by chance,
-    hardly any) also take part with their empty blocks. A pair belongs to the band of its
-    smaller set; a set at the lower edge of its band joins the band below as well.
+    the pair agrees in a block that is not empty. Sets of which too little is left for that also
+    take part with keys of all their shingles, and those that fill too few blocks even so (by
+    chance, hardly any) with their empty blocks. A pair belongs to the band of its smaller set;
+    a set at the lower edge of its band joins the band below as well.
     """
     held = np.flatnonzero(sizes > 0)
     if not len(held):
@@ -90,38 +141,54 @@ def block_keys(shingle: np.ndarray, sizes: np.ndarray, rule: Threshold) -> tuple
     top = np.searchsorted(starts, sizes, "right") - 1
     low = np.searchsorted(starts, np.maximum(-(-sizes * rule.part // rule.whole), 1), "right") - 1
     first = run_starts(sizes)
+    rare, rare_sizes = shingle, sizes
+    if common is not None and len(common):
+        at = np.minimum(np.searchsorted(common, shingle), len(common) - 1)
+        kept = common[at] != shingle
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rare, rare_sizes = shingle[kept], np.bincount(owner[kept], minlength=len(sizes))
+    rare_first = run_starts(rare_sizes)
     keys, owners = [], []
     for step in range(int((top - low)[held].max()) + 1):
         sets = held[(top - step >= low)[held]]
         band = top[sets] - step
         blocks = column_blocks(rule, band, starts)
-        n = sizes[sets]
-        at = spread(first[sets], n)
-        local = np.repeat(np.arange(len(sets)), n)
-        own = shingle[at]
-        # The upper 32 bits of the hash choose the block.
-        block = ((own >> np.uint64(32)) * blocks[local].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        # Sets are sorted by hash, so a block is a run.
-        base = run_starts(blocks)
-        cell = base[local] + block
-        heads = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        content = np.add.reduceat(mixed(own), heads)
-        where = cell[heads]
-        of = local[heads]
-        filled = np.bincount(of, minlength=len(sets))
-        sparse = np.flatnonzero(filled < rule.differences(n) + 1)
-        if len(sparse):
-            cells = spread(base[sparse], blocks[sparse])
-            empty = np.setdiff1d(cells, where)
-            where = np.r_[where, empty]
-            of = np.r_[of, np.repeat(sparse, blocks[sparse])[np.searchsorted(cells, empty)]]
-            content = np.r_[content, np.zeros(len(empty), np.uint64)]
-        name = (band[of] << 32) + (where - base[of])
-        keys.append(mixed(content ^ mixed(name.astype(np.uint64))))
-        owners.append(sets[of])
+        # What the smaller set of a pair of this band can differ by, and one more.
+        enough = rule.differences(np.minimum(sizes[sets], starts[band + 1] - 1)) + 1
+        cells = _cells(rare, rare_first[sets], rare_sizes[sets], blocks)
+        keys.append(cells.keys(band, 0))
+        owners.append(sets[cells.owner])
+        few = np.flatnonzero(cells.filled < enough)
+        if not len(few):
+            continue
+        sets, band, blocks, enough = sets[few], band[few], blocks[few], enough[few]
+        cells = _cells(shingle, first[sets], sizes[sets], blocks)
+        empty = _empty_cells(cells, blocks, np.flatnonzero(cells.filled < enough))
+        for part in (cells, empty):
+            keys.append(part.keys(band, 1))
+            owners.append(sets[part.owner])
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def common_shingles(rows: DataFrame, n_rows: int, words: int) -> np.ndarray:
+    """Shingles that come in COMMON_TIMES documents or more of a sample, at most COMMON_MOST.
+
+    The sample has about SAMPLE_ROWS documents, chosen by the hash of their texts.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, raw, offsets in slices(batch, limit=SLICE_BYTES):
+                found, _ = shingle_sets(raw, offsets, words)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
+    share = max(1, n_rows // SAMPLE_ROWS)
+    sample = rows.where(F.pmod(F.xxhash64("_text_hash"), F.lit(share)) == 0).select("text")
+    counted = sample.mapInArrow(released(shingles), "shingle long").groupBy("shingle").count()
+    often = counted.where(F.col("count") >= COMMON_TIMES).orderBy(F.desc("count"), "shingle").limit(COMMON_MOST)
+    return np.sort(np.array([r["shingle"] for r in often.collect()], np.int64).view(np.uint64))
+
+
 def set_ids(shingle: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """One 64-bit number per set, equal for equal sets."""
     ends = np.r_[0, np.cumsum(sizes)]
@@ -181,9 +248,16 @@ def product_classes(sets: list[np.ndarray], rule: Threshold) -> np.ndarray:
             span = cut[p][block[busy] + 1] - cut[p][block[busy]]
             columns = column[in_part[p][spread(cut[p][block[busy]], span)]]
             owner = np.repeat(busy, span)
-            others = posting[spread(first[columns], count[columns])]
-            cells = np.repeat(owner, count[columns]) * n + others
-            overlap += np.bincount(cells, minlength=len(block) * n).reshape(len(block), n)
+            # Postings are gathered CELLS at a time, whatever the rows and columns.
+            reach = np.cumsum(count[columns])
+            low = 0
+            while low < len(columns):
+                done_before = reach[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(reach, done_before + CELLS, "right")))
+                own, n_own = columns[low:high], count[columns[low:high]]
+                cells = np.repeat(owner[low:high] * n, n_own) + posting[spread(first[own], n_own)]
+                overlap += np.bincount(cells, minlength=len(block) * n).reshape(len(block), n)
+                low = high
             rest = np.minimum(left_over[p + 1][block][:, None], left_over[p + 1][None, :])
             alive &= overlap + rest >= bound
         a, b = np.nonzero(alive & (overlap >= bound))
@@ -209,8 +283,9 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     give no rows.
     """
     rows = texts(docs)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_ranges = key_ranges(total)
+    n_rows, total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    n_ranges = key_ranges(total or 0)
+    common = common_shingles(rows, n_rows, rule.words)
 
     def ids_and_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +301,7 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
         for batch in batches:
             for _, _, raw, offsets in slices(batch, limit=SLICE_BYTES):
                 shingle, sizes = shingle_sets(raw, offsets, rule.words)
-                key, owner = block_keys(shingle, sizes, rule)
+                key, owner = block_keys(shingle, sizes, rule, common)
                 yield from packed_postings(key, set_ids(shingle, sizes)[owner], n_ranges)
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,10 +316,10 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("item"), content], names=["item", "payload"])
 
     sized = stage(
-        rows.select(*ROW, "text").mapInArrow(ids_and_sizes, "_id long, _text_hash long, n_shingles long, item long"),
+        rows.select(*ROW, "text").mapInArrow(released(ids_and_sizes), "_id long, _text_hash long, n_shingles long, item long"),
         "ngram-sizes",
     )
-    edges = candidate_edges(rows.select("text").mapInArrow(postings, BLOCKS_DDL))
+    edges = candidate_edges(rows.select("text").mapInArrow(released(postings), BLOCKS_DDL))
     members = components(edges, "ngram-candidates")
     chosen = (
         sized.where(F.col("n_shingles") > 0)
@@ -258,7 +333,7 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     sets = (
         rows.join(wanted, ROW)
         .select("item", "text")
-        .mapInArrow(payloads, "item long, payload binary")
+        .mapInArrow(released(payloads), "item long, payload binary")
         .dropDuplicates(["item"])
     )
     links = solve_groups(met.join(sets, "item"), lambda p: _solve(p, rule))
