@@ -138,7 +138,9 @@ def test_every_linked_pair_shares_a_key():
         b = np.unique(np.r_[a[rng.permutation(len(a))[drop:]], rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 12)))).astype(np.uint64)])
         if not len(b) or 100 * len(np.intersect1d(a, b)) < 90 * len(np.union1d(a, b)):
             continue
-        key, owner = N.block_keys(np.r_[a, b], np.array([len(a), len(b)]), rule)
+        both = np.union1d(a, b)
+        common = np.sort(rng.choice(both, int(rng.integers(0, len(both) + 1)), replace=False))
+        key, owner = N.block_keys(np.r_[a, b], np.array([len(a), len(b)]), rule, common)
         assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
 
 
