@@ -1,46 +1,25 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification."""
+"""Benchmark decontamination: exact pieces of the items place windows, edit distance verifies them."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm.arrays import code_points, mixed, prefix_hash, run_starts, spread, substring_hash
+from folioflow.llm.arrays import code_points, prefix_hash, spread, substring_hash
 from folioflow.llm.common import ROW, public_id, released, slices, table, texts
 
 #: A document holds an item if some stretch of it is within this share of the item's length in edits.
 EDIT_SHARE = 0.1
 #: Items that travel to the workers at once; more go in several passes.
 ITEMS_PER_PASS = 20_000
-#: Window sizes are multiples of this.
-SIZE_STEP = 32
-#: Words of an item, the longest first, that place windows in a document.
-ANCHOR_WORDS = 8
-#: LSH: characters per key, the chance that one agrees between an item and an edited copy, and
-#: the share of such copies that at least one key is to find. The repetitions follow.
-KEY_CHARS = 6
-AGREEMENT = 0.6
-TARGET_RECALL = 0.99
-#: Random walks; each serves as many repetitions. Their steps end here, or with the item.
-WALKS = 8
-MAX_STEPS = 192
-SEED = 7
 #: Texts searched at once; few large slices keep the array calls long.
 SLICE_BYTES = 4 << 20
-#: Windows embedded at once.
-WINDOW_BATCH = 65_536
-
-
-def repetitions(key_chars: int = KEY_CHARS, agreement: float = AGREEMENT, recall: float = TARGET_RECALL) -> int:
-    """Keys needed so that one of them agrees with the wanted chance, a multiple of the walks."""
-    needed = math.log(1 - recall) / math.log(1 - agreement**key_chars)
-    return WALKS * math.ceil(needed / WALKS)
+#: Places hashed at once.
+PLACES = 1 << 18
 
 
 @lru_cache(1)
@@ -59,54 +38,6 @@ def plain(chars: np.ndarray) -> np.ndarray:
     return out
 
 
-def words_of(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of the runs without spaces."""
-    inside = chars != 32
-    edge = np.diff(np.r_[False, inside, False].astype(np.int8))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-@lru_cache(4)
-def _walk_bits(walk: int) -> np.ndarray:
-    """For every step and character class, whether the walk moves on."""
-    at = np.arange(MAX_STEPS * 256, dtype=np.uint64) + np.uint64((SEED * 1000 + walk) << 32)
-    return (mixed(mixed(at)) & np.uint64(1)).astype(np.int64).reshape(MAX_STEPS, 256)
-
-
-@lru_cache(64)
-def sampled_steps(walk: int, steps: int) -> np.ndarray:
-    """The steps whose characters make the keys of a walk: one row per key."""
-    n = repetitions() // WALKS
-    at = np.arange(n * KEY_CHARS, dtype=np.uint64) + np.uint64((SEED * 2000 + walk) << 32)
-    return (mixed(mixed(at)) % np.uint64(steps)).astype(np.int64).reshape(n, KEY_CHARS)
-
-
-def embedded_keys(chars: np.ndarray, start: np.ndarray, end: np.ndarray, steps: int) -> np.ndarray:
-    """LSH keys of the stretches of `chars`: one row per stretch, one column per repetition.
-
-    CGK embedding: at each step the walk writes down the character it stands on and moves on or
-    stays by a random bit that the step and the character decide. Two stretches a few edits
-    apart fall into step again soon after each edit, so most of what they write agrees. A key is
-    the characters at a few sampled steps.
-    """
-    out = []
-    padded = np.r_[chars, np.uint32(0)]
-    for walk in range(WALKS):
-        bits = _walk_bits(walk)
-        at = start.copy()
-        wrote = np.empty((steps, len(start)), np.uint32)
-        for step in range(steps):
-            char = np.where(at < end, padded[np.minimum(at, len(chars))], np.uint32(0))
-            wrote[step] = char
-            at += bits[step, char & 255]
-        for number, sample in enumerate(sampled_steps(walk, steps)):
-            key = np.full(len(start), np.uint64(walk * 1000 + number))
-            for step in sample:
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + wrote[step])
-            out.append(key)
-    return np.stack(out, axis=1)
-
-
 def best_match(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
     """Least edit distance of the item to any part of the stretch, and where that part ends.
 
@@ -136,118 +67,147 @@ def best_match(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-@dataclass
-class _Size:
-    """Items of one window size."""
+def ends_within(where: dict[int, int], m: int, edits: int, stretch: list[int]) -> list[int]:
+    """All ends in the stretch of parts within so many edits of a pattern of m characters.
 
-    steps: int
-    keys: np.ndarray
-    owners: np.ndarray
+    `where` has the pattern's places of every character as bits. The search of `best_match`.
+    """
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    vp, vn, score = full, 0, m
+    out = []
+    for j, c in enumerate(stretch, 1):
+        eq = where.get(c, 0)
+        d0 = (((eq & vp) + vp) ^ vp) | eq | vn
+        hp = vn | ~(d0 | vp) & full
+        hn = d0 & vp & full
+        if hp & top:
+            score += 1
+        elif hn & top:
+            score -= 1
+        hp, hn = hp << 1 & full, hn << 1 & full
+        vp = hn | ~(d0 | hp) & full
+        vn = d0 & hp
+        if score <= edits:
+            out.append(j)
+    return out
 
 
 class ItemIndex:
-    """LSH tables and anchor words of some items."""
+    """Some items cut into pieces, one more than the edits allowed, as leaves of a tree each.
+
+    A node with n leaves below it is granted n - 1 edits. If a node stands in a text within its
+    edits, then one of its two children does within its own (else the edits would be n at
+    least), so from every occurrence of an item a chain of nodes that hold leads down to a piece
+    that stands unchanged. The search takes the chain upwards and so loses none.
+    """
 
     def __init__(self, items: list[tuple[int | None, str]], edit_share: float) -> None:
+        if not 0 <= edit_share < 1:
+            raise ValueError("the share of edits is at least 0 and less than 1")
         self.names = [i for i, _ in items]
         self.texts = [plain(np.frombuffer(t.encode("utf-32-le"), np.uint32)) for _, t in items]
         self.edits = [int(edit_share * len(t)) for t in self.texts]
-        hashes, sizes, offsets = [], [], []
-        by_size: dict[int, list[int]] = {}
+        nodes: list[tuple[int, int, int, int, int]] = []
+        leaves: dict[int, tuple[list[np.uint64], list[int]]] = {}
         for i, chars in enumerate(self.texts):
-            size = -(-len(chars) // SIZE_STEP) * SIZE_STEP
-            by_size.setdefault(size, []).append(i)
-            start, end = words_of(chars)
-            longest = np.argsort(start - end, kind="stable")[:ANCHOR_WORDS]
-            if len(start):
-                hashes.append(substring_hash(prefix_hash(chars), start[longest], end[longest]))
-                offsets.append(start[longest])
-                sizes.append(np.full(len(longest), size))
-        self.sizes: dict[int, _Size] = {}
-        for size, members in by_size.items():
-            steps = max(KEY_CHARS, min(MAX_STEPS, size - SIZE_STEP))
-            flat = np.concatenate([self.texts[i] for i in members])
-            length = np.array([len(self.texts[i]) for i in members])
-            start = run_starts(length)
-            keys = embedded_keys(flat, start, start + length, steps)
-            owner = np.repeat(np.array(members), keys.shape[1])
-            order = np.argsort(keys.ravel(), kind="stable")
-            self.sizes[size] = _Size(steps, keys.ravel()[order], owner[order])
-        # Anchor words with the places and sizes of the windows they stand for.
-        place = np.unique(
-            np.stack([np.concatenate(c).astype(np.uint64) for c in (hashes, offsets, sizes)]), axis=1
-        ) if hashes else np.zeros((3, 0), np.uint64)
-        self.words, first = np.unique(place[0], return_index=True)
-        self.first = np.r_[first, place.shape[1]]
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.words >> np.uint64(48)).astype(np.int64)] = True
-        self.offsets = place[1].astype(np.int64)
-        self.window = place[2].astype(np.int64)
-
-    def windows(self, chars: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Start and size of every item-sized window that an anchor word places, each once."""
-        if not len(self.words):
-            return np.zeros((2, 0), np.int64)
-        # A text ends its last word; the space put there for it is not part of any window.
-        start, end = words_of(chars)
-        cut = edges[1:-1]
-        inside = np.searchsorted(start, cut, "left")
-        broken = (inside > 0) & (inside <= len(start))
-        broken[broken] = end[inside[broken] - 1] > cut[broken]
-        start = np.sort(np.r_[start, cut[broken]])
-        end = np.sort(np.r_[end, cut[broken]])
-        hashed = substring_hash(prefix_hash(chars), start, end)
-        # Most words are no anchor; their upper 16 bits tell.
-        hit = np.flatnonzero(self.maybe[(hashed >> np.uint64(48)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.words, hashed[hit]), len(self.words) - 1)
-        same = self.words[at] == hashed[hit]
-        hit, at = hit[same], at[same]
-        n = self.first[at + 1] - self.first[at]
-        which = spread(self.first[at], n)
-        return np.unique(
-            np.stack([np.repeat(start[hit], n) - self.offsets[which], self.window[which]]), axis=1
+            if not len(chars):
+                continue
+            n = self.edits[i] + 1
+            cuts = [p * len(chars) // n for p in range(n + 1)]
+            prefix = prefix_hash(chars)
+            todo = [(0, n, -1)]
+            while todo:
+                a, b, parent = todo.pop()
+                me = len(nodes)
+                nodes.append((i, cuts[a], cuts[b], b - a - 1, parent))
+                if b - a > 1:
+                    todo += [(a, (a + b) // 2, me), ((a + b) // 2, b, me)]
+                    continue
+                hashed = substring_hash(prefix, np.array([cuts[a]]), np.array([cuts[b]]))[0]
+                of_length = leaves.setdefault(cuts[b] - cuts[a], ([], []))
+                of_length[0].append(hashed)
+                of_length[1].append(me)
+        self.item, self.low, self.high, self.granted, self.parent = (
+            np.array([n[c] for n in nodes], np.int64) for c in range(5)
         )
+        self.pieces = []
+        for length, (hashes, owners) in sorted(leaves.items()):
+            order = np.argsort(np.array(hashes, np.uint64), kind="stable")
+            held, first = np.unique(np.array(hashes, np.uint64)[order], return_index=True)
+            maybe = np.zeros(1 << 20, bool)
+            maybe[(held >> np.uint64(44)).astype(np.int64)] = True
+            self.pieces.append((length, held, np.r_[first, len(order)], np.array(owners)[order], maybe))
+        self._where: dict[int, dict[int, int]] = {}
+
+    def _bits(self, node: int) -> dict[int, int]:
+        if node not in self._where:
+            where: dict[int, int] = {}
+            for i, c in enumerate(self.texts[self.item[node]][self.low[node] : self.high[node]].tolist()):
+                where[c] = where.get(c, 0) | 1 << i
+            self._where[node] = where
+        return self._where[node]
+
+    def standing(self, chars: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every place where a piece stands unchanged within a text: leaf and end."""
+        prefix = prefix_hash(chars)
+        nodes, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length, held, first, owners, maybe in self.pieces:
+            for a in range(0, len(chars) - length + 1, PLACES):
+                start = np.arange(a, min(a + PLACES, len(chars) - length + 1))
+                hashed = substring_hash(prefix, start, start + length)
+                # Most places hold no piece; the upper 20 bits tell.
+                hit = np.flatnonzero(maybe[(hashed >> np.uint64(44)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(held, hashed[hit]), len(held) - 1)
+                same = held[at] == hashed[hit]
+                end, at = start[hit[same]] + length, at[same]
+                inside = edges[np.searchsorted(edges, end - 1, "right")] >= end
+                inside &= edges[np.searchsorted(edges, end - 1, "right") - 1] <= end - length
+                end, at = end[inside], at[inside]
+                n = first[at + 1] - first[at]
+                nodes.append(owners[spread(first[at], n)])
+                ends.append(np.repeat(end, n))
+        return np.concatenate(nodes), np.concatenate(ends)
+
+    def stretches(self, node: np.ndarray, end: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Where the parents of nodes that end at these places can stand: parent, text, start and
+        end, windows that meet as one. A root stands for itself."""
+        up = np.where(self.parent[node] < 0, node, self.parent[node])
+        k = self.granted[up]
+        text = np.searchsorted(edges, end - 1, "right") - 1
+        x = np.maximum(end - (self.high[node] - self.low[up]) - k, edges[text])
+        y = np.minimum(end + (self.high[up] - self.high[node]) + k, edges[text + 1])
+        order = np.lexsort((x, text, up))
+        up, text, x, y = up[order], text[order], x[order], y[order]
+        group = np.cumsum(np.r_[False, (up[1:] != up[:-1]) | (text[1:] != text[:-1])])
+        # The furthest end so far in each group.
+        far = np.maximum.accumulate(group * (edges[-1] + 1) + y) - group * (edges[-1] + 1)
+        fresh = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (x[1:] > far[:-1])])
+        last = np.r_[fresh[1:], len(x)] - 1
+        return zip(up[fresh].tolist(), text[fresh].tolist(), x[fresh].tolist(), far[last].tolist())
 
     def search(self, chars: np.ndarray, edges: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Verified matches: (text number, item, distance, start and end within the text)."""
-        chars = plain(chars)
-        start, size = self.windows(chars, edges)
+        chars, edges = plain(chars), np.asarray(edges, np.int64)
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        tried: set[tuple[int, int]] = set()
-        for wide, tables in self.sizes.items():
-            of_size = start[size == wide]
-            for a in range(0, len(of_size), WINDOW_BATCH):
-                begin = of_size[a : a + WINDOW_BATCH]
-                # The middle of a window tells its text; it is cut to that text.
-                text = np.searchsorted(edges, np.clip(begin + wide // 2, 0, len(chars) - 1), "right") - 1
-                low = np.maximum(begin, edges[text])
-                high = np.minimum(begin + wide, edges[text + 1])
-                keys = embedded_keys(chars, low, np.maximum(high, low), tables.steps)
-                key = keys.ravel()
-                left = np.searchsorted(tables.keys, key, "left")
-                hit = np.flatnonzero(tables.keys[np.minimum(left, len(tables.keys) - 1)] == key)
-                left = left[hit]
-                n = np.searchsorted(tables.keys, key[hit], "right") - left
-                row = np.repeat(hit // keys.shape[1], n)
-                item = tables.owners[spread(left, n)]
-                for w, i in np.unique(np.stack([row, item]), axis=1).T.tolist():
-                    k = self.edits[i]
-                    x = int(max(edges[text[w]], begin[w] - k))
-                    y = int(min(edges[text[w] + 1], begin[w] + len(self.texts[i]) + k))
-                    if (x, i) in tried or y <= x:
-                        continue
-                    tried.add((x, i))
-                    # The item's head alone is within the bound, if the whole item is.
-                    head = self.texts[i][: 3 * k + 8]
-                    if len(head) < len(self.texts[i]) and best_match(head, chars[x : min(y, x + 6 * k + 8)])[0] > k:
-                        continue
-                    distance, end = best_match(self.texts[i], chars[x:y])
-                    if distance <= k:
-                        back, length = best_match(self.texts[i][::-1], chars[x : x + end][::-1])
-                        base = int(edges[text[w]])
-                        match = (distance, x + end - length - base, x + end - base)
-                        key = (int(text[w]), i)
-                        found[key] = min(found.get(key, match), match)
+        node, end = self.standing(chars, edges)
+        while len(node):
+            nodes: list[int] = []
+            ends: list[int] = []
+            for up, text, x, y in self.stretches(node, end, edges):
+                if self.parent[up] >= 0:
+                    size = int(self.high[up] - self.low[up])
+                    held = ends_within(self._bits(up), size, int(self.granted[up]), chars[x:y].tolist())
+                    nodes += [up] * len(held)
+                    ends += [x + j for j in held]
+                    continue
+                i = int(self.item[up])
+                distance, stop = best_match(self.texts[i], chars[x:y])
+                if distance <= self.edits[i]:
+                    _, length = best_match(self.texts[i][::-1], chars[x : x + stop][::-1])
+                    base = int(edges[text])
+                    match = (distance, x + stop - length - base, x + stop - base)
+                    found[text, i] = min(found.get((text, i), match), match)
+            node, end = np.array(nodes, np.int64), np.array(ends, np.int64)
         return [(t, i, *m) for (t, i), m in sorted(found.items())]
 
 
@@ -257,10 +217,10 @@ _MATCH_DDL = "_id long, _text_hash long, item_id long, distance int, start int,
 def find_leaks(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE) -> DataFrame:
     """One row per document and benchmark item that it holds, exactly or with edits.
 
-    Windows of the items' sizes are laid where one of an item's longest words stands in the
-    document; their CGK embeddings are looked up in LSH tables of the items' embeddings by
-    repeated samples of characters; what a key finds is verified by exact edit distance. ASCII
-    case and the kind of blank do not count. Returns _id, _text_hash, item_id, distance, start
+    An item is cut into one piece more than the edits allowed, so one piece stands unchanged in
+    every copy. Pieces are looked up at every place of a document; a window around a piece is
+    verified by exact edit distance, for growing parts of the item first. Nothing is sampled, so
+    no copy is lost. ASCII case and the kind of blank do not count. Returns _id, _text_hash, item_id, distance, start
     and end (characters of the best place in the document, the first of several).
 
     Documents stream through in one pass without a shuffle. Items go to the workers in blocks

@@ -134,6 +134,24 @@ def test_recall_within_the_threshold():
         assert found / len(items) >= least
 
 
+def points(text):
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def found_in(index, doc):
+    return [m[1:] for m in index.search(points(doc), np.array([0, len(doc)]))]
+
+
+def test_edits_gathered_at_the_head_are_found():
+    rng = random.Random(11)
+    items = [(i, words(rng, rng.randint(36, 60), "abcdefghijklmnop")) for i in range(60)]
+    index = D.ItemIndex(items, D.EDIT_SHARE)
+    for i, text in items:
+        quarter = len(text) // 4
+        copy = edited(rng, text[:quarter], len(text) // 10) + text[quarter:]
+        assert i in [m[0] for m in found_in(index, f"{words(rng, 20)} {copy} {words(rng, 20)}")]
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """Documents before the first stage and after each, on the small tables with odd rows."""
