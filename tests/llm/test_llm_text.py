@@ -152,6 +152,34 @@ def test_edits_gathered_at_the_head_are_found():
         assert i in [m[0] for m in found_in(index, f"{words(rng, 20)} {copy} {words(rng, 20)}")]
 
 
+def test_full_tenth_equals_brute_force():
+    rng = random.Random(12)
+    items = [(i, words(rng, rng.randint(2, 50), "abcdefghijklmnop")) for i in range(60)]
+    items += [(60, "".join(rng.choice("abcdefgh") for _ in range(200))), (61, "語彙検索文書" * 5), (62, "a" * 40), (63, "q")]
+    index = D.ItemIndex(items, D.EDIT_SHARE)
+    for i, text in items:
+        doc = f"{words(rng, 15)} {edited(rng, text, len(text) // 10)} {words(rng, 15)} {'a' * 60}"
+        want = []
+        for j, other in items:
+            distance, end = D.best_match(points(other), points(doc))
+            if distance <= len(other) // 10:
+                _, length = D.best_match(points(other)[::-1], points(doc)[:end][::-1])
+                want.append((j, distance, end - length, end))
+        assert i in [w[0] for w in want] and found_in(index, doc) == want
+
+
+def test_an_edit_in_every_long_word_and_text_without_blanks():
+    rng = random.Random(13)
+    text = words(rng, 50, "abcdefghijklmnop")
+    split = text.split()
+    for at in sorted(range(len(split)), key=lambda a: -len(split[a]))[:8]:
+        split[at] = split[at][:1] + "z" + split[at][2:]
+    url = "https://example.org/" + "".join(rng.choice("abcdefgh") for _ in range(80))
+    index = D.ItemIndex([(0, text), (1, url)], D.EDIT_SHARE)
+    assert [m[0] for m in found_in(index, f"{words(rng, 9)} {' '.join(split)} {words(rng, 9)}")] == [0]
+    assert found_in(index, f"see {url[:50]}Z{url[51:]} there") == [(1, 1, 4, 104)]
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """Documents before the first stage and after each, on the small tables with odd rows."""
