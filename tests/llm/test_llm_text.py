@@ -180,6 +180,21 @@ def test_an_edit_in_every_long_word_and_text_without_blanks():
     assert found_in(index, f"see {url[:50]}Z{url[51:]} there") == [(1, 1, 4, 104)]
 
 
+def test_items_cut_off_at_the_borders_of_a_text_are_found():
+    rng = random.Random(14)
+    items = [(i, words(rng, rng.randint(36, 60), "abcdefghijklmnop")) for i in range(60)]
+    items += [(100, f"{items[0][1][:60]} anchoringword {items[1][1][:60]} anchoringword {items[2][1][:60]}")]
+    index = D.ItemIndex(items, D.EDIT_SHARE)
+    docs, want = [], []
+    for i, (_, text) in enumerate(items):
+        k = len(text) // 10
+        for part in (text, text[k:], text[: len(text) - k]):
+            want.append((len(docs), i, len(text) - len(part), 0, len(part)))
+            docs.append(part)
+    edges = np.cumsum([0, *map(len, docs)])
+    assert index.search(points("".join(docs)), edges) == want
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """Documents before the first stage and after each, on the small tables with odd rows."""
