@@ -274,8 +274,9 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
 
     Words are bytes between blanks, A-Z lower-cased. Equal sets are one item, so copies cost
     nothing. Items that agree in a block of columns are candidates; the exact product runs
-    within connected candidates, see `linking`. Returns _id, _text_hash, n_shingles, item and
-    component_id.
+    within connected candidates, see `linking`. Returns _id, _text_hash, doc_id, n_shingles,
+    _component (that smallest id) and _class, which tells components apart whatever their ids;
+    documents without shingles share a _class.
 
     Defined cases: null and empty texts, and texts of blanks, have size 0 and link with nothing,
     each its own component; rows that repeat are linked (equal sets), empty ones excepted; null
@@ -345,6 +346,7 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
         public_id().alias("doc_id"),
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("_id")).alias("_component"),
+        "_class",
     )
 
 

@@ -248,6 +248,16 @@ def test_stages_decide_as_their_operators_by_brute_force(spark, stages):
     assert got == want
 
 
+def test_near_duplicates_by_component_not_by_id(spark):
+    import corpus_pipeline as C
+
+    rng = random.Random(15)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (1, b + " more"), (5, c), (5, d), (6, c), (7, d), (8, e), (9, e), (None, None), (10, ""), (10, " ")]
+    got = rows_of(C.ngram_join(spark, frame(spark, rows), SF), "doc_id", "text")
+    assert got == sorted([(None, a), (None, b), (5, c), (5, d), (8, e), (None, None), (10, ""), (10, " ")], key=repr)
+
+
 def test_queries_are_registered_with_their_sql():
     import __spark_entry__ as entry
     from folioflow.llm.queries import ORACLE_SQL, QUERIES
