@@ -22,7 +22,8 @@ _MARKUP = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: Attributes one after the other, each with its value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 

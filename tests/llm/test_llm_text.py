@@ -58,6 +58,19 @@ def test_main_text_of_an_article():
     assert main_text(None, tree) == main_text("", tree) == main_text("<p></p>", tree) == ""
 
 
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", 'title="hidden gems"', "data-a = hidden", 'title="an id=menu class=ad"', "alt='role=navigation'", "aria-hidden=false"])
+def test_values_of_other_attributes_hide_nothing(attributes):
+    long = " ".join(["word"] * 30)
+    page = f"<body><div {attributes}><article {attributes}><p>{long}</p><p>{long}</p></article></div></body>"
+    assert not any(b.in_frame for b in flat_blocks(page))
+    assert main_text(page, trained_tree()) == f"{long}\n{long}"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "title=x hidden", "title='x'hidden class=a", "data-x=1 CLASS = 'a menu'", "id=nav", "role=\"navigation\"", "class='menu"])
+def test_own_attributes_still_frame(attributes):
+    assert all(b.in_frame for b in flat_blocks(f"<body><div {attributes}><p>Some words here</p></div></body>"))
+
+
 def test_bare_pages_go_by_words_and_links():
     long = " ".join(["word"] * 30)
     page = f"<body><p><a href=/>Home</a></p><p>{long}</p><p>Yes.</p><p>{long}</p><p>{long}</p><p><a href=/1>{long}</a></p><p><a href=/2>more</a></p></body>"
