@@ -18,14 +18,19 @@ from folioflow.llm.common import released, short_batches, slices, table
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 2024
-#: How many segmentations a word can have under one seed; each place in a text draws one.
+#: Numbers that keys are made of where no place in a text draws them.
 VARIANTS = 8
 #: Longer units go through a heap one by one, shorter ones in lockstep.
 LOCKSTEP_CHARS = 48
 SLICE_BYTES = 1 << 20
-#: Piece ids decoded at once, and words whose segmentations a worker keeps.
+#: Piece ids decoded at once, and words and segmentations that a worker keeps.
 SLICE_IDS = 1 << 19
 CACHE_WORDS = 200_000
+CACHE_STATES = 400_000
+#: Units up to this length have their segmentations stored; their merges fit as bits beside the
+#: number of a segmentation.
+STORED_CHARS = 32
+_MERGE_BITS = STORED_CHARS - 1
 
 _SPACE = "▁"
 _NEVER = np.int64(np.iinfo(np.int64).max)
@@ -157,7 +162,9 @@ class MergeDropout:
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         long = np.flatnonzero(sizes > LOCKSTEP_CHARS)
         short = np.flatnonzero(sizes <= LOCKSTEP_CHARS)
-        parts = [self._lockstep([units[i] for i in short], sizes[short], keys[short], short)]
+        few = keys[short]
+        skip = (lambda owner, *place: self.skipped(few[owner], *place)) if self.limit else None
+        parts = [self._lockstep([units[i] for i in short], sizes[short], skip, short)]
         for i in long.tolist():
             symbols = self._agenda(units[i], keys[i])
             parts.append((np.full(len(symbols), i), symbols))
@@ -166,23 +173,27 @@ class MergeDropout:
         order = np.argsort(owner, kind="stable")
         return symbol[order], np.bincount(owner, minlength=len(units))
 
+    def _end(self, sizes, owner, start, i) -> np.ndarray:
+        """Where symbols `i + 1` end in their units."""
+        beyond = np.minimum(i + 2, len(owner) - 1)
+        follows = (i + 2 < len(owner)) & (owner[beyond] == owner[i])
+        return np.where(follows, start[beyond], sizes[owner[i]])
+
     def _candidates(self, units: tuple, symbol, owner, start, at) -> np.ndarray:
         """Rank and place of the merge of symbols `at` and `at + 1`; _NEVER if none or skipped."""
-        sizes, keys = units
+        sizes, skip = units
         merge = self.pieces.merge_of(symbol[at], symbol[at + 1])
         out = np.full(len(at), _NEVER)
         some = np.flatnonzero(merge >= 0)
-        if len(some) and self.limit:
+        if len(some) and skip is not None:
             i = at[some]
-            beyond = np.minimum(i + 2, len(owner) - 1)
-            follows = (i + 2 < len(owner)) & (owner[beyond] == owner[i])
-            end = np.where(follows, start[beyond], sizes[owner[i]])
-            some = some[~self.skipped(keys[owner[i]], start[i], start[i + 1], end)]
+            some = some[~skip(owner[i], start[i], start[i + 1], self._end(sizes, owner, start, i))]
         out[some] = (self.pieces.pair_rank[merge[some]] << _PLACE_BITS) | start[at[some]]
         return out
 
-    def _lockstep(self, units, sizes, keys, names) -> tuple[np.ndarray, np.ndarray]:
-        """All agendas at once: in every round each unit takes its best candidate."""
+    def _lockstep(self, units, sizes, skip, names, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All agendas at once: in every round each unit takes its best candidate. `taken` gets
+        the merges of every round: their units and packed places."""
         char = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int32)
         symbol = self.pieces.char_id[char]
         symbol = np.where(symbol < 0, -1 - char, symbol).astype(np.int32)
@@ -191,7 +202,7 @@ class MergeDropout:
         done_owner, done_symbol = [], []
         best = np.full(len(symbol), _NEVER)
         pairs = np.flatnonzero(owner[1:] == owner[:-1])
-        best[pairs] = self._candidates((sizes, keys), symbol, owner, start, pairs)
+        best[pairs] = self._candidates((sizes, skip), symbol, owner, start, pairs)
         while len(symbol):
             heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             counts = np.diff(np.r_[heads, len(owner)])
@@ -206,6 +217,8 @@ class MergeDropout:
                 if not len(symbol):
                     break
             at = np.flatnonzero(best == np.repeat(least, counts))
+            if taken is not None:
+                taken.append((owner[at], start[at] << 12 | start[at + 1] << 6 | self._end(sizes, owner, start, at)))
             merge = self.pieces.merge_of(symbol[at], symbol[at + 1])
             symbol[at] = self.pieces.pair_id[merge]
             stays = np.ones(len(symbol), bool)
@@ -218,7 +231,7 @@ class MergeDropout:
             left = at[at > 0] - 1
             left = left[owner[left] == owner[left + 1]]
             changed = np.concatenate([left, right])
-            best[changed] = self._candidates((sizes, keys), symbol, owner, start, changed)
+            best[changed] = self._candidates((sizes, skip), symbol, owner, start, changed)
         if not done_owner:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return names[np.concatenate(done_owner)], np.concatenate(done_symbol).astype(np.int64)
@@ -287,54 +300,138 @@ class MergeDropout:
         for name in kept:
             self.number[name]
         self.uses = np.zeros(1 << 12, np.int32)
-        # Where the ids of word and variant lie in the store, -1 where they are not known.
-        self.at = np.full(self.variants << 12, -1, np.int32)
-        self.count = np.zeros(self.variants << 12, np.int32)
-        self.store = np.zeros(1 << 16, np.int32)
-        self.used = 0
-
-    def _learn(self, codes: np.ndarray, names: list[str]) -> None:
-        """Segment the words of these codes (word number and variant) and store their ids."""
-        symbol, counts = self.segment(names, self.keys_of(codes % self.variants))
+        self.root = np.full(1 << 12, -1, np.int32)
+        # A state is a word with the merges that its agenda skips: those of the state before it
+        # and some that were taken there. Kept are the ids, and the merges taken.
+        self.n_states = 0
+        self.states = {k: np.zeros(1 << 12, np.int32) for k in ("at", "count", "merges_at", "n_merges", "before")}
+        self.skips = np.zeros(1 << 12, np.int64)
+        self.after: dict[int, int] = {}
+        self.store, self.used = np.zeros(1 << 16, np.int32), 0
+        self.merges, self.n_taken = np.zeros(1 << 16, np.int32), 0
+
+    @staticmethod
+    def _grown(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.r_[array, np.zeros(size - len(array) + len(array) // 4, array.dtype)]
+
+    def _add(self, symbol, counts, before=None, skips=None, taken=()) -> np.ndarray:
+        """Store the symbols of units as new states and return their numbers."""
         ids, counts = self._with_bytes(symbol, counts)
-        if self.used + len(ids) > len(self.store):
-            self.store = np.r_[self.store, np.zeros(len(self.store) // 4 + len(ids), np.int32)]
+        n = len(counts)
+        new = np.arange(self.n_states, self.n_states + n)
+        self.n_states += n
+        for k, column in self.states.items():
+            self.states[k] = self._grown(column, self.n_states)
+        self.skips = self._grown(self.skips, self.n_states)
+        self.store = self._grown(self.store, self.used + len(ids))
         self.store[self.used : self.used + len(ids)] = ids
-        self.at[codes] = self.used + run_starts(counts)
-        self.count[codes] = counts
+        self.states["at"][new] = self.used + run_starts(counts)
+        self.states["count"][new] = counts
         self.used += len(ids)
+        owner = np.concatenate([np.zeros(0, np.int64), *[t[0] for t in taken]])
+        place = np.concatenate([np.zeros(0, np.int64), *[t[1] for t in taken]])
+        n_merges = np.bincount(owner, minlength=n)
+        self.merges = self._grown(self.merges, self.n_taken + len(place))
+        self.merges[self.n_taken : self.n_taken + len(place)] = place[np.argsort(owner, kind="stable")]
+        self.states["merges_at"][new] = self.n_taken + run_starts(n_merges)
+        self.states["n_merges"][new] = n_merges
+        self.n_taken += len(place)
+        self.states["before"][new] = -1 if before is None else before
+        self.skips[new] = 0 if skips is None else skips
+        return new
+
+    def _learn(self, names: list[str], before: np.ndarray | None = None, skips: np.ndarray | None = None) -> np.ndarray:
+        """New states: these words, skipping what the states before skip and the merges in
+        `skips` (bits) that were taken there."""
+        n = len(names)
+        forced = [np.zeros(0, np.int64)]
+        if before is not None:
+            unit, state, bits = np.arange(n), before.astype(np.int64), skips
+            while len(unit):
+                size = self.states["n_merges"][state].astype(np.int64)
+                which = np.repeat(np.arange(len(unit)), size)
+                bit = spread(np.zeros(len(unit), np.int64), size)
+                on = (bits[which] >> bit) & 1 == 1
+                place = self.merges[spread(self.states["merges_at"][state].astype(np.int64), size)[on]]
+                forced.append(unit[which[on]] << 18 | place)
+                bits, state = self.skips[state], self.states["before"][state].astype(np.int64)
+                unit, bits, state = unit[state >= 0], bits[state >= 0], state[state >= 0]
+        held = np.sort(np.concatenate(forced))
+
+        def skip(owner, start, middle, end):
+            code = owner.astype(np.int64) << 18 | (start << 12 | middle << 6 | end)
+            return held[np.minimum(np.searchsorted(held, code), len(held) - 1)] == code
+
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
+        sizes = np.fromiter(map(len, names), np.int64, n)
+        owner, symbol = self._lockstep(names, sizes, skip if len(held) else None, np.arange(n), taken)
+        order = np.argsort(owner, kind="stable")
+        return self._add(symbol[order], np.bincount(owner, minlength=n), before, skips, taken)
+
+    def _skipped_merges(self, state: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """For every state the merges taken there that the key skips, as bits."""
+        size = self.states["n_merges"][state].astype(np.int64)
+        first = run_starts(size)
+        place = self.merges[spread(self.states["merges_at"][state].astype(np.int64), size)]
+        hit = np.flatnonzero(self.skipped(np.repeat(key, size), place >> 12, place >> 6 & 63, place & 63))
+        out = np.zeros(len(state), np.int64)
+        if len(hit):
+            owner = np.searchsorted(first + size, hit, "right")
+            heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            out[owner[heads]] = np.add.reduceat(np.int64(1) << (hit - first[owner]), heads)
+        return out
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of every text, flat, and their counts. `keys` (one per text) with the place of a
-        word in its text draw which of its segmentations the word takes there. What the store
-        holds changes the work, never the result."""
-        if len(self.number) > CACHE_WORDS:
+        """Ids of every text, flat, and their counts. A merge is skipped by a hash of the seed,
+        the text's key, the place of the word in the text and the merge's span in the word.
+
+        An agenda that skips some of these merges is that of the word, if it takes none of the
+        others; so stored segmentations serve where the skipped merges are the same. What the
+        store holds changes the work, never the result."""
+        if len(self.number) > CACHE_WORDS or self.n_states > CACHE_STATES or self.used > 8 * CACHE_STATES:
             self._forget(CACHE_WORDS // 4)
         units = [_UNIT.findall(" " + text) if text else [] for text in texts]
         per_text = np.fromiter(map(len, units), np.int64, len(texts))
         total = int(per_text.sum())
-        unit = np.fromiter(map(self.number.__getitem__, chain.from_iterable(units)), np.int64, total)
         if not total:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        known = len(self.uses)
-        if len(self.number) > known:
-            more = len(self.number) + (len(self.number) >> 2) - known
-            self.uses = np.r_[self.uses, np.zeros(more, np.int32)]
-            self.at = np.r_[self.at, np.full(more * self.variants, -1, np.int32)]
-            self.count = np.r_[self.count, np.zeros(more * self.variants, np.int32)]
+        flat = list(chain.from_iterable(units))
+        del units
+        place = spread(np.zeros(len(texts), np.int64), per_text).astype(np.uint64)
+        key = mixed(np.repeat(keys.astype(np.uint64), per_text) ^ mixed(place + self.seed))
+        short = np.fromiter(map(len, flat), np.int64, total) <= STORED_CHARS
+        state = np.full(total, -1, np.int64)
+        if not short.all():
+            long = np.flatnonzero(~short)
+            state[long] = self._add(*self.segment([flat[i] for i in long.tolist()], key[long]))
+        at = np.flatnonzero(short)
+        unit = np.fromiter(map(self.number.__getitem__, flat if len(at) == total else [flat[i] for i in at.tolist()]), np.int64, len(at))
+        self.uses = self._grown(self.uses, len(self.number))
+        if len(self.root) < len(self.uses):
+            self.root = np.r_[self.root, np.full(len(self.uses) - len(self.root), -1, np.int32)]
         self.uses += np.bincount(unit, minlength=len(self.uses)).astype(np.int32)
-        code = unit * self.variants
-        if self.variants > 1:
-            place = spread(np.zeros(len(texts), np.int64), per_text).astype(np.uint64)
-            drawn = mixed(np.repeat(keys.astype(np.uint64), per_text) ^ mixed(place + self.seed))
-            code += (drawn % np.uint64(self.variants)).astype(np.int64)
-        new = np.flatnonzero(self.at[code] < 0)
+        new, first = np.unique(unit[self.root[unit] < 0], return_index=True)
         if len(new):
-            codes, first = np.unique(code[new], return_index=True)
-            flat = list(chain.from_iterable(units))
-            self._learn(codes, [flat[i] for i in new[first].tolist()])
-        sizes = self.count[code].astype(np.int64)
-        ids = self.store[spread(self.at[code].astype(np.int64), sizes)]
+            first = at[np.flatnonzero(self.root[unit] < 0)[first]]
+            self.root[new] = self._learn([flat[i] for i in first.tolist()])
+        state[at] = self.root[unit]
+        while len(at) and self.limit:
+            skips = self._skipped_merges(state[at], key[at])
+            at, skips = at[skips != 0], skips[skips != 0]
+            if not len(at):
+                break
+            code, first, which = np.unique(state[at] << _MERGE_BITS | skips, return_index=True, return_inverse=True)
+            known = np.array([self.after.get(c, -1) for c in code.tolist()], np.int64)
+            new = np.flatnonzero(known < 0)
+            if len(new):
+                those = first[new]
+                known[new] = self._learn([flat[i] for i in at[those].tolist()], state[at[those]], skips[those])
+                self.after.update(zip(code[new].tolist(), known[new].tolist()))
+            state[at] = known[which]
+        sizes = self.states["count"][state].astype(np.int64)
+        ids = self.store[spread(self.states["at"][state].astype(np.int64), sizes)]
         ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(per_text)]]
         return ids, np.diff(ends)
 
@@ -376,8 +473,9 @@ def encode_pieces(
     """Add the piece ids of `text` (array<int>) as column `to` (replaced if it is there) to the
     columns of `docs`, or to those in `keep`.
 
-    The draw of a text is keyed by the seed and its doc_id, so a row's result does not depend
-    on its neighbours, partitions or attempts, and rows that repeat get the same ids. A null or
+    A merge is skipped by a hash of the seed, the doc_id, the word's place in the text and the
+    merge's span, so every word of every document draws for itself. Neither neighbours nor
+    partitions nor attempts matter, and rows that repeat get the same ids. A null or
     empty text has no ids; a null doc_id counts as 0. One pass, no shuffle; a worker holds one
     slice of texts, and a text of any length is a slice of its own.
     """

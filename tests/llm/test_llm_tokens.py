@@ -152,3 +152,29 @@ def test_the_store_never_changes_the_result(pieces, monkeypatch):
     small = M.MergeDropout(pieces, 0.2)
     got = np.concatenate([small.encode([t], keys[i : i + 1])[0] for i, t in enumerate(all_texts)])
     assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
+def test_every_word_draws_its_merges_by_document_and_place(pieces, dropout):
+    """The store's results are those of an agenda of its own for each word of each text."""
+    all_texts = [t or "" for _, t in texts()] + ODD + ["international " * 300, "y" * 45 + " übermäßig"]
+    keys = np.arange(len(all_texts)) * 7
+    encoder = M.MergeDropout(pieces, dropout)
+    ids, counts = encoder.encode(all_texts, keys)
+    ends = np.r_[0, np.cumsum(counts)]
+    for i, text in enumerate(all_texts):
+        units = M._UNIT.findall(" " + text) if text else []
+        drawn = M.mixed(np.full(len(units), keys[i], np.uint64) ^ M.mixed(np.arange(len(units), dtype=np.uint64) + encoder.seed))
+        want, _ = encoder._with_bytes(*encoder.segment(units, drawn)) if units else (np.zeros(0, np.int64), None)
+        assert np.array_equal(ids[ends[i] : ends[i + 1]], want)
+
+
+def test_a_merge_is_dropped_at_its_rate_everywhere(pieces):
+    encoder = M.MergeDropout(pieces, 0.1)
+    ids, counts = encoder.encode([" ".join(["international"] * 50)] * 200, np.arange(200))
+    kinds = {tuple(x.tolist()) for x in np.split(encoder.store[: encoder.used], np.cumsum(encoder.states["count"][: encoder.n_states])[:-1])}
+    assert len(kinds) > 8
+    for word in "aeio":
+        whole, n = M.MergeDropout(pieces, 0.0).encode([word], np.array([0]))
+        got, _ = encoder.encode([word] * 4000, np.arange(4000))
+        assert len(whole) == 1 and abs((got == whole[0]).sum() / 4000 - 0.9) < 0.02
