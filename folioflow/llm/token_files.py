@@ -51,7 +51,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         self._empty()
 

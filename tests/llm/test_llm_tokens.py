@@ -39,6 +39,17 @@ def test_files_hold_what_the_tokenizer_says(spark, tmp_path, file_documents):
     assert sorted(map(tuple, read_documents(data).collect())) == sorted(want)
 
 
+def test_special_tokens_in_a_text_are_the_library_s():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = ["a <|endoftext|> b", "<|startoftext|>word<|endoftext|>\nmore", "x<|endoftext|>y <|endoftext|><|endoftext|>  z", "<|END|> <|endoftext"]
+    ids, counts = word_encoder(path).encode(held)
+    plain = Tokenizer.from_file(path)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in held]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_repeated_and_null_ids_are_all_there(spark, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     data = write_token_files(frame(spark, texts()), lambda: word_encoder(path), f"{tmp_path}/tokens")
