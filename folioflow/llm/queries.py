@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folioflow.llm.decontaminate import op8_benchmark_decontamination
 from folioflow.llm.exact_topk import OP1_SQL, op1_exact_topk
+from folioflow.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from folioflow.llm.html_text import op6_html_text
 from folioflow.llm.language_id import op10_language_id
 from folioflow.llm.line_dedup import op7_line_dedup
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op1_exact_topk": OP1_SQL,
     "op9_hash_tree_sharding": op9_sql(),
+    "op11_hard_negatives": OP11_SQL,
 }
