@@ -7,6 +7,7 @@ from folioflow.llm.exact_topk import OP1_SQL, op1_exact_topk
 from folioflow.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from folioflow.llm.html_text import op6_html_text
 from folioflow.llm.language_id import op10_language_id
+from folioflow.llm.lexical_search import OP13_SQL, op13_lexical_search
 from folioflow.llm.line_dedup import op7_line_dedup
 from folioflow.llm.merge_dropout import op3_merge_dropout
 from folioflow.llm.ngram_join import op5_ngram_jaccard_join
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op1_exact_topk": OP1_SQL,
     "op9_hash_tree_sharding": op9_sql(),
     "op11_hard_negatives": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
