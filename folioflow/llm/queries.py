@@ -10,6 +10,7 @@ from folioflow.llm.language_id import op10_language_id
 from folioflow.llm.lexical_search import OP13_SQL, op13_lexical_search
 from folioflow.llm.line_dedup import op7_line_dedup
 from folioflow.llm.merge_dropout import op3_merge_dropout
+from folioflow.llm.minhash_dedup import op12_minhash_dedup
 from folioflow.llm.ngram_join import op5_ngram_jaccard_join
 from folioflow.llm.sharding import op9_hash_tree_sharding, op9_sql
 from folioflow.llm.suffix_dedup import op4_suffix_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_hash_tree_sharding": op9_hash_tree_sharding,
     "op10_language_id": op10_language_id,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_lexical_search": op13_lexical_search,
 }
 
