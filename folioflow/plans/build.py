@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.schemas import DATASETS, DatasetSpec
-from folioflow.sources import ledger
+from folioflow.sources import ledger, state
 from folioflow.sources.datasets import (
     INSTRUMENT_CODE,
     TRADE_DATE,
@@ -22,6 +22,8 @@ from folioflow.sources.datasets import (
 from folioflow.sources.tables import SourceTables, in_span, month_predicates, rename_from_schema
 
 BUILDERS: dict[str, Callable[["BuildContext"], DataFrame]] = {}
+#: Datasets whose rows look back at the last earlier row of their key: (key, order).
+LAST_ROWS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
 
 
 @dataclass(frozen=True)
@@ -94,6 +96,12 @@ def builds(name: str):
     return register
 
 
+def keeps_last_rows(name: str, by: tuple[str, ...], order: tuple[str, ...]) -> None:
+    """Declare that loads of a dataset read the last row of each key before their span, so
+    that a state of these rows is kept beside the stored dataset (see `sources.state`)."""
+    LAST_ROWS[name] = (tuple(by), tuple(order))
+
+
 def build_dataset(name: str, context: BuildContext) -> DataFrame:
     rows = BUILDERS[name](context)
     schema = DATASETS[name].schema
@@ -168,17 +176,69 @@ def run_dataset(
     path = dataset_path(root, name)
     record(ledger.START)
     try:
-        dated = spec.schema is not None and TRADE_DATE in spec.schema.fieldNames()
-        if context.start and dated and dataset_exists(spark, path):
-            held = read_dataset(
-                spark, path, spec.schema, spec.partition_by, spec.grain, end=context.start - timedelta(days=1)
-            )
-            context = replace(context, stored={**context.stored, name: held})
-        by_code = context.codes is not None
-        partial = by_code or context.start is not None or context.end is not None
-        store(build_dataset(name, context), spec, path, rebuild, by_code, partial)
+        _load(name, context, root, path, rebuild)
     except Exception as error:
         record(ledger.FAILED, str(error)[:500])
         raise
     record(ledger.COMPLETE, "OK")
     return True
+
+
+def state_path(root: str, name: str) -> str:
+    return f"{root}/_state/{name}"
+
+
+def _load(name: str, context: BuildContext, root: str, path: str, rebuild: bool, repair: bool = True) -> None:
+    """Build and store one load. A dataset that keeps the state of its last rows reads, before
+    the span, only that state (and stored days it does not cover yet), and leaves the state of
+    its last day; a load of days that later stored rows look back at works these rows out again
+    (`_repair_after`)."""
+    spark = context.sources.spark
+    spec = DATASETS[name]
+    dated = spec.schema is not None and TRADE_DATE in spec.schema.fieldNames()
+    keyed = LAST_ROWS.get(name) if dated else None
+    states = state_path(root, name)
+
+    def stored_between(start: date | None, end: date | None) -> DataFrame:
+        return read_dataset(spark, path, spec.schema, spec.partition_by, spec.grain, start=start, end=end)
+
+    exists = dated and dataset_exists(spark, path)
+    held = None
+    if context.start and exists:
+        if keyed:
+            state.invalidate(spark, states, context.start)
+            held = state.before(spark, states, context.start, stored_between, *keyed, spec.schema)
+        else:
+            held = stored_between(None, context.start - timedelta(days=1))
+        context = replace(context, stored={**context.stored, name: held})
+    by_code = context.codes is not None
+    partial = by_code or context.start is not None or context.end is not None
+    store(build_dataset(name, context), spec, path, rebuild, by_code, partial)
+    if not keyed:
+        return
+    if by_code:
+        # Only some codes changed within the span: what stays true is the state before it.
+        # That is the version of the day before the span, which `state.before` left.
+        return
+    last_day = context.end or date.today()
+    written = stored_between(context.start, last_day)
+    rows = written if held is None else held.unionByName(written.select(*held.columns))
+    state.write_version(spark, states, last_day, state.last_rows(rows, *keyed).select(*spec.schema.fieldNames()))
+    if repair and context.end is not None:
+        _repair_after(name, context, root, path, last_day, stored_between)
+
+
+def _repair_after(name: str, context: BuildContext, root: str, path: str, last_day: date, stored_between) -> None:
+    """After a load that ends before stored rows (a backfill), the first stored row of each key
+    after it looked back at rows that have changed. All these rows lie between the day after
+    the load and the latest of the keys' first days after it: that span is built again from the
+    new state, and its own state is left. Later rows look back at rows of that span, which keep
+    their values, so nothing further changes. A forward load finds no later rows."""
+    spark = context.sources.spark
+    by, _ = LAST_ROWS[name]
+    later = stored_between(last_day + timedelta(days=1), None)
+    until = later.groupBy(*by).agg(F.min(TRADE_DATE).alias("_first")).agg(F.max("_first")).first()[0]
+    if until is None:
+        return
+    again = replace(context, start=last_day + timedelta(days=1), end=until, codes=None)
+    _load(name, again, root, path, rebuild=False, repair=False)

@@ -14,7 +14,7 @@ from folioflow.operators.filters import RATING_AGENCIES, restrict_to_codes
 from folioflow.operators.nav import adjusted_nav, fill_missing_nav, returns
 from folioflow.operators.ordered import asof_join
 from folioflow.operators.reshape import union_all
-from folioflow.plans.build import BuildContext, builds, rename_for, restrict
+from folioflow.plans.build import BuildContext, builds, keeps_last_rows, rename_for, restrict
 
 # Source codes that select rows.
 MID_PRICE, PUBLISHER = "001", "001"
@@ -115,6 +115,9 @@ def product_values(ctx: BuildContext) -> DataFrame:
     return fill_missing_nav(stored, adjusted_nav(direct, starts))
 
 
+keeps_last_rows("FundDailyQuote", ("instrument_code",), ("trade_date",))
+
+
 @builds("FundDailyQuote")
 def fund_daily_quote(ctx: BuildContext) -> DataFrame:
     listed = restrict(ctx.table("INFO_FUND_EODPRICE", "END_DATE"), ctx.held("FUND"), "FUND_CODE")

@@ -15,7 +15,7 @@ from folioflow.operators.positions import (
     with_previous,
     with_repo_term,
 )
-from folioflow.plans.build import BuildContext, builds, rename_for, restrict
+from folioflow.plans.build import BuildContext, builds, keeps_last_rows, rename_for, restrict
 
 HELD_TO_MATURITY = "H"
 DIRECT_HOLDINGS = "0"
@@ -63,6 +63,9 @@ def repo_terms(ctx: BuildContext) -> DataFrame:
     return weighted_term(repos, ["book_id", "trade_date", "instrument_code"])
 
 
+keeps_last_rows("CombPosition", ("book_id", "instrument_code"), POSITION_ORDER)
+
+
 @builds("CombPosition")
 def comb_position(ctx: BuildContext) -> DataFrame:
     rows = with_previous(position_detail(ctx), POSITION_ORDER, earlier=ctx.earlier("CombPosition"))

@@ -35,18 +35,24 @@ def built_by_span(spark, sf_dir: str, name: str, order=SPANS) -> DataFrame:
     return datasets.read_dataset(spark, dataset_path(root, name), spec.schema, spec.partition_by, spec.grain)
 
 
-def span_query(label: str, name: str) -> None:
+def span_query(label: str, name: str, order=SPANS) -> None:
     def run(spark, sf_dir):
-        rows = FINISH[name](built_by_span(spark, sf_dir, name))
+        rows = FINISH[name](built_by_span(spark, sf_dir, name, order))
         return rows.withColumns({c: date_text(c) for c in DATES[name]})
 
     QUERIES[label] = Query(run, QUERIES[f"dataset_{label_of(name)}"].sql)
 
 
+#: The first span, the last, then the middle one: a backfill between stored spans.
+BACKFILL = (SPANS[0], SPANS[2], SPANS[1])
+
+
 span_query("span_comb_position", "CombPosition")
 span_query("span_stock_daily_quote", "StockDailyQuote")
 span_query("span_fund_daily_quote", "FundDailyQuote")
 span_query("span_penetrated_trades", "BondTradePenetrateInfo")
+span_query("backfill_comb_position", "CombPosition", BACKFILL)
+span_query("backfill_fund_daily_quote", "FundDailyQuote", BACKFILL)
 
 _STORED = """
 SELECT CAST(o_custkey AS STRING) AS instrument_code, CAST(o_orderdate AS DATE) AS trade_date,
