@@ -24,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from folioflow.llm.common import released, table
+from folioflow.llm.common import released, stage, table
+from folioflow.operators.sizes import broadcast_if_small
 
 # Fixed values of the contract: the characters that are not part of a term, the constants of
 # the score, the size of each item's list.
@@ -39,6 +40,8 @@ TOP = 20
 BLOCK_DOCS = 16_384
 LEAF_DOCS = 32
 LEAF_ITEMS = 8
+#: Distinct terms of all items up to which they are broadcast to the scan of the texts.
+BROADCAST_TERMS = 1_000_000
 
 _OUT = pa.schema([("_item", pa.int64()), ("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
@@ -233,17 +236,6 @@ def lexical_search(documents: DataFrame, items: DataFrame, k: int = TOP, block_d
     (from 1), doc_id, score.
     """
     spark = documents.sparkSession
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        terms_of(F.col("text").cast("string")).alias("_all"),
-    ).withColumn("_row", F.monotonically_increasing_id())
-    docs = docs.select("doc_id", "_row", "_all", F.size("_all").cast("long").alias("_n"))
-    n_docs, n_terms, n_rows = docs.agg(
-        F.count(F.when(F.col("_n") > 0, 1)), F.sum("_n"), F.count(F.lit(1))
-    ).first()
-    if not n_docs:
-        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-
     asked = (
         items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("_text"))
         .where(F.col("item_id").isNotNull())
@@ -252,14 +244,31 @@ def lexical_search(documents: DataFrame, items: DataFrame, k: int = TOP, block_d
         .groupBy("item_id", "_item", "term")
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    wanted = asked.select("term").distinct()
-    # Occurrences of wanted terms only; repeated rows differ by their _row.
-    found = (
-        docs.select("doc_id", "_row", "_n", F.explode("_all").alias("term"))
-        .join(wanted, "term", "left_semi")
-        .groupBy("_row", "doc_id", "_n", "term")
-        .agg(F.count(F.lit(1)).alias("_tf"))
+    wanted = broadcast_if_small(asked.select("term", F.lit(True).alias("_wanted")).distinct(), BROADCAST_TERMS)
+    # One pass over the texts: every document gives one row of null term (its size rides on it)
+    # and its occurrences of wanted terms; other terms fall into that null row.
+    parsed = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("_row"),
+        terms_of(F.col("text").cast("string")).alias("_all"),
+    )
+    occurrences = parsed.select(
+        "doc_id", "_row", F.size("_all").cast("long").alias("_n"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), "_all")).alias("term"),
+    ).join(wanted, "term", "left")
+    counted = stage(
+        occurrences.groupBy("_row", "doc_id", "_n", F.when(F.col("_wanted"), F.col("term")).alias("term"))
+        .agg(F.count(F.lit(1)).alias("_tf")),
+        "lexical-occurrences",
+    )
+    n_docs, n_terms, n_rows = (
+        counted.where(F.col("term").isNull())
+        .agg(F.count(F.when(F.col("_n") > 0, 1)), F.sum("_n"), F.count(F.lit(1)))
+        .first()
     )
+    if not n_docs:
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
+    found = counted.where(F.col("term").isNotNull())
     weights = found.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).select(
         "term",
         F.floor(
