@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioflow.operators import fx, graph, positions, trades
 from folioflow.queries.registry import NUDGE, month, query, rounded, table, year
+from folioflow.sources.storage import staged
 
 DETAIL_SQL = """
 detail AS (
@@ -236,6 +237,50 @@ def look_through(spark, sf_dir):
     return rounded(graph.look_through(ownership(spark, sf_dir)), 9, "invest_rate")
 
 
+CHANGED_EDGES_SQL = EDGES_SQL + """,
+changed AS (
+  SELECT book_id, trade_date, children_book_id,
+         CASE WHEN book_id = 5 THEN invest_rate / 2 ELSE invest_rate END AS invest_rate
+  FROM edges WHERE NOT (book_id = 3 AND children_book_id = 8)
+  UNION ALL
+  SELECT DISTINCT book_id, trade_date, CAST(7 AS BIGINT) AS children_book_id, 0.25e0 AS invest_rate
+  FROM edges WHERE book_id = 40
+)"""
+
+
+def changed_ownership(edges):
+    """One edge removed (3 owns 8), the rates of book 5 halved, an edge added (40 owns 7)."""
+    kept = edges.where(~((F.col("book_id") == 3) & (F.col("children_book_id") == 8))).withColumn(
+        "invest_rate", F.when(F.col("book_id") == 5, F.col("invest_rate") / 2).otherwise(F.col("invest_rate"))
+    )
+    added = (
+        edges.where(F.col("book_id") == 40)
+        .select("book_id", "trade_date")
+        .distinct()
+        .select("book_id", "trade_date", F.lit(7).cast("long").alias("children_book_id"), F.lit(0.25).alias("invest_rate"))
+    )
+    return kept.unionByName(added.select(*kept.columns))
+
+
+@query(f"""
+WITH RECURSIVE {CHANGED_EDGES_SQL},
+paths AS (
+  SELECT book_id AS root_book_id, children_book_id, trade_date, invest_rate FROM changed
+  UNION ALL
+  SELECT p.root_book_id, e.children_book_id, p.trade_date, p.invest_rate * e.invest_rate
+  FROM paths p JOIN changed e ON p.children_book_id = e.book_id AND p.trade_date = e.trade_date
+)
+SELECT root_book_id, children_book_id, trade_date, round(sum(invest_rate), 9) AS invest_rate
+FROM paths GROUP BY 1, 2, 3
+""", dates="trade_date")
+def look_through_refreshed(spark, sf_dir):
+    """A full look-through is stored; three edges change; only the roots above them are redone."""
+    old = ownership(spark, sf_dir)
+    stored = staged(graph.look_through(old))
+    refreshed, _ = graph.refresh_look_through(stored, old, changed_ownership(old))
+    return rounded(refreshed, 9, "invest_rate")
+
+
 @query(f"""
 WITH {EDGES_SQL},
 two AS (
