@@ -57,21 +57,27 @@ SLICE_BYTES = 2 << 20
 @lru_cache(1)
 def _family() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    odd = rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return odd, rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+    odd = rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return odd, rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 
 
 def signatures(shingle: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The MinHash signature (HASHES uint64) of every set; all ones for empty sets."""
-    odd, add = _family()
-    out = np.full((len(sizes), HASHES), np.iinfo(np.uint64).max, np.uint64)
+    """The MinHash signature (HASHES uint32) of every set; all ones for empty sets.
+
+    Shingle hashes are mixed already; folded to 32 bits, the i-th hash of x is
+    (x xor s_i) * a_i modulo 2**32 with odd a_i, one position at a time over the whole slice.
+    """
+    odd, salt = _family()
+    out = np.full((len(sizes), HASHES), np.iinfo(np.uint32).max, np.uint32)
     held = np.flatnonzero(sizes)
     if not len(held):
         return out
     starts = (np.cumsum(sizes) - sizes)[held]
-    for first in range(0, HASHES, STEP):
-        values = mixed(shingle[:, None] * odd[None, first : first + STEP] + add[None, first : first + STEP])
-        out[held, first : first + STEP] = np.minimum.reduceat(values, starts, axis=0)
+    folded = (shingle ^ (shingle >> np.uint64(32))).astype(np.uint32)
+    for i in range(HASHES):
+        values = folded ^ salt[i]
+        values *= odd[i]
+        out[held, i] = np.minimum.reduceat(values, starts)
     return out
 
 
@@ -82,7 +88,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     for band in range(bands):
         key = np.full(len(signature), band + 1, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for r in range(ROWS):
-            key = mixed(key ^ signature[:, band * ROWS + r])
+            key = mixed(key ^ signature[:, band * ROWS + r].astype(np.uint64))
         keys[:, band] = key
     return keys
 
@@ -157,13 +163,13 @@ def linked_roots(sig: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _payload(signature: np.ndarray, shingle: np.ndarray) -> bytes:
-    return signature.astype("<u8").tobytes() + shingle.astype("<u8").tobytes()
+    return signature.astype("<u4").tobytes() + shingle.astype("<u8").tobytes()
 
 
 def _solve(payloads: list[bytes]) -> np.ndarray:
-    arrays = [np.frombuffer(p, "<u8") for p in payloads]
-    sig = np.stack([a[:HASHES] for a in arrays]) if arrays else np.zeros((0, HASHES), np.uint64)
-    return linked_roots(sig, [a[HASHES:] for a in arrays])
+    cut = 4 * HASHES
+    sig = np.stack([np.frombuffer(p[:cut], "<u4") for p in payloads]) if payloads else np.zeros((0, HASHES), np.uint32)
+    return linked_roots(sig, [np.frombuffer(p[cut:], "<u8") for p in payloads])
 
 
 def minhash_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
