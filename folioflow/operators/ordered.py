@@ -85,6 +85,47 @@ def _last_known(name: str, window) -> Column:
     )
 
 
+def _fill(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], descending: bool) -> DataFrame:
+    """Fill nulls by the last known value of the key, the input read once.
+
+    Within each slice of a key a window fills what the slice itself knows. The tail of every
+    slice (its last known values) is an aggregate over the same partitioning, so it needs no
+    exchange of its own and the exchange of the rows is reused: the input is scanned once. The
+    tails, one row per slice, are carried along the key and joined back to the slices' rows,
+    filling what is still null.
+    """
+    sliced = df.withColumn(_SLICE, slice_of(df, order[0]))
+    inside = Window.partitionBy(*by, _SLICE).orderBy(*_sorted(order, descending))
+    local = sliced.withColumns({c: _last_known(c, inside) for c in columns})
+    place = F.struct(*order)
+    pick = F.min_by if descending else F.max_by
+    tails = local.groupBy(*by, _SLICE).agg(
+        *[pick(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns]
+    )
+    before = (
+        Window.partitionBy(*by)
+        .orderBy(F.desc(_SLICE) if descending else F.asc(_SLICE))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    keys = [*by, _SLICE]
+    carried = tails.select(
+        *[F.col(c).alias(f"_key_{i}") for i, c in enumerate(keys)],
+        *[F.last(c, ignorenulls=True).over(before).alias(f"_in_{i}") for i, c in enumerate(columns)],
+    )
+    # Null keys meet null keys, as in the window.
+    joined = local.alias("_rows").join(
+        carried,
+        [F.col(f"_rows.`{c}`").eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate(keys)],
+        "left",
+    )
+    return joined.select(
+        *[
+            F.coalesce(F.col(f"_rows.`{c}`"), F.col(f"_in_{columns.index(c)}")).alias(c) if c in columns else F.col(f"_rows.`{c}`")
+            for c in df.columns
+        ]
+    )
+
+
 def fill_forward(
     df: DataFrame,
     by: Sequence[str],
@@ -92,7 +133,9 @@ def fill_forward(
     columns: Sequence[str],
     sliced: bool = True,
 ) -> DataFrame:
-    """Replace nulls by the last known value of the key."""
+    """Replace nulls by the last known value of the key; sliced, the input is read once."""
+    if sliced:
+        return _fill(df, by, order, list(columns), False)
     return _over_keys(df, by, order, columns, columns, _last_known, False, sliced)
 
 
@@ -103,7 +146,9 @@ def fill_backward(
     columns: Sequence[str],
     sliced: bool = True,
 ) -> DataFrame:
-    """Replace nulls by the next known value of the key."""
+    """Replace nulls by the next known value of the key; sliced, the input is read once."""
+    if sliced:
+        return _fill(df, by, order, list(columns), True)
     return _over_keys(df, by, order, columns, columns, _last_known, True, sliced)
 
 

@@ -178,3 +178,26 @@ def test_dedupe_keeps_first_and_last(spark):
     known = df.groupBy("k").agg(*first_known(["s", "v"], ["o"])).where("k = 'a'").first()
     assert (known["s"], known["v"]) == ("x", 5)
     assert keep_first(df, ["k"], ["o"]).columns == df.columns
+
+
+def test_fill_reads_its_input_once(spark):
+    """The tails of the slices reuse the exchange of the rows: one scan of the input."""
+    import re
+
+    from folioflow.operators.ordered import fill_forward
+
+    path = f"{spark.sparkContext.getCheckpointDir()}/fill-once"
+    spark.range(2000).selectExpr(
+        "id % 3 AS k", "date_add(DATE'2020-01-01', CAST(id AS INT)) AS d", "IF(id % 5 = 0, id, NULL) AS v"
+    ).write.mode("overwrite").parquet(path)
+    filled = fill_forward(spark.read.parquet(path), ["k"], ["d"], ["v"])
+    rows = filled.collect()
+    plan = filled._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) == 1 and "ReusedExchange" in plan
+    expected = {}
+    for k in range(3):
+        last = None
+        for i in range(k, 2000, 3):
+            last = i if i % 5 == 0 else last
+            expected[(k, i)] = last
+    assert {(r["k"], (r["d"] - __import__("datetime").date(2020, 1, 1)).days): r["v"] for r in rows} == expected
