@@ -279,8 +279,9 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     documents without shingles share a _class.
 
     Defined cases: null and empty texts, and texts of blanks, have size 0 and link with nothing,
-    each its own component; rows that repeat are linked (equal sets), empty ones excepted; null
-    ids are the smallest id and stay null. Texts of any length are taken whole. Empty tables
+    each its own component; rows that repeat are linked (equal sets), empty ones excepted; a null
+    id is never a component's id: a row's _component is the smallest non-null id of its class
+    (null if the class has none, and for a row of null id without shingles). Texts of any length are taken whole. Empty tables
     give no rows.
     """
     rows = texts(docs)
@@ -340,12 +341,13 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     links = solve_groups(met.join(sets, "item"), lambda p: _solve(p, rule))
     found = classes(links, "ngram-links")
     named = sized.join(found, "item", "left").withColumn("_class", F.coalesce("class", "item"))
-    least = named.where(F.col("n_shingles") > 0).groupBy("_class").agg(F.min("_id").alias("_least"))
+    # Null ids are never a component's id: the smallest id of a class is taken over real ids.
+    least = named.where(F.col("n_shingles") > 0).groupBy("_class").agg(F.min(public_id()).alias("_least"))
     return named.join(least, "_class", "left").select(
         *ROW,
         public_id().alias("doc_id"),
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("_id")).alias("_component"),
+        F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(public_id()).alias("_component"),
         "_class",
     )
 

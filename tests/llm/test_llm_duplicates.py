@@ -83,12 +83,14 @@ def linked(rows, rule):
             if sets[a] and sets[b] and rule.whole * both >= rule.part * (len(sets[a]) + len(sets[b]) - both):
                 x, y = find(parent, a), find(parent, b)
                 parent[max(x, y)] = min(x, y)
+    # A null id is never a component's id: the smallest non-null id of the class, else null.
     least = {}
     for k, (i, _) in enumerate(rows):
-        root = find(parent, k)
-        least[root] = min(least.get(root, 1 << 62), -(1 << 63) if i is None else i)
+        if i is not None:
+            root = find(parent, k)
+            least[root] = min(least.get(root, i), i)
     return sorted(
-        ((i, len(sets[k]), least[find(parent, k)] if sets[k] else (-(1 << 63) if i is None else i)) for k, (i, _) in enumerate(rows)),
+        ((i, len(sets[k]), least.get(find(parent, k)) if sets[k] else i) for k, (i, _) in enumerate(rows)),
         key=repr,
     )
 
@@ -230,3 +232,11 @@ def test_line_dedup_of_repeated_rows_and_of_nothing(spark):
     got = rows_of(L.dedup_lines(frame(spark, rows)), "doc_id", "text")
     assert got == sorted([(None, line), (5, "other words of the same length"), (5, "other words of the same length")], key=repr)
     assert L.dedup_lines(frame(spark, [])).count() == 0
+
+
+def test_null_ids_are_no_component(spark):
+    """A null id neither names a component nor ties strangers together."""
+    rule = N.Threshold(3, 90, 100)
+    rows = [(None, "a b c d e f"), (7, "a b c d e f"), (None, "q r s t u"), (None, ""), (None, "q r s t u v w x y z")]
+    got = rows_of(N.jaccard_classes(frame(spark, rows), rule), "doc_id", "n_shingles", "_component")
+    assert got == sorted([(None, 4, 7), (7, 4, 7), (None, 3, None), (None, 0, None), (None, 8, None)], key=repr)
