@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm.arrays import mixed, shingle_sets
+from folioflow.llm.arrays import mixed, shingle_sets, spread
 from folioflow.llm.common import ROW, released, slices, stage, table, texts
 from folioflow.llm.linking import (
     BLOCKS_DDL,
@@ -114,8 +114,34 @@ def least_matches() -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def verified(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which pairs link: the sequential test on signatures, then the exact test on full sets."""
+#: Elements of the sets whose pairs are checked in one sort.
+CHECK_ELEMENTS = 1 << 19
+
+
+def exact_links(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs link on their full sets: the sets of all pairs at once, in slices of about
+    CHECK_ELEMENTS elements, sorted by (pair, element); an element twice in a row is shared."""
+    out = np.zeros(len(left), bool)
+    weight = np.cumsum(sizes[left] + sizes[right])
+    first = 0
+    while first < len(left):
+        last = max(first + 1, int(np.searchsorted(weight, weight[first] - sizes[left[first]] - sizes[right[first]] + CHECK_ELEMENTS)))
+        l, r = left[first:last], right[first:last]
+        pair = np.r_[np.repeat(np.arange(len(l)), sizes[l]), np.repeat(np.arange(len(l)), sizes[r])]
+        at = np.r_[spread(starts[l], sizes[l]), spread(starts[r], sizes[r])]
+        value = flat[at]
+        order = np.lexsort((value, pair))
+        pair, value = pair[order], value[order]
+        twice = (pair[1:] == pair[:-1]) & (value[1:] == value[:-1])
+        common = np.bincount(pair[1:][twice], minlength=len(l))
+        out[first:last] = 100 * common >= PERCENT * (sizes[l] + sizes[r] - common)
+        first = last
+    return out
+
+
+def verified(sig: np.ndarray, sets: tuple, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs link: the sequential test on signatures, then the exact test on full sets
+    (`sets` is the flat elements, starts and sizes of all sets)."""
     alive = np.ones(len(left), bool)
     matches = np.zeros(len(left), np.int64)
     for step, least in enumerate(least_matches()):
@@ -125,10 +151,8 @@ def verified(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: n
         cols = slice(step * STEP, (step + 1) * STEP)
         matches[at] += (sig[left[at], cols] == sig[right[at], cols]).sum(axis=1)
         alive[at] = matches[at] >= least
-    for i in np.flatnonzero(alive):
-        a, b = sets[left[i]], sets[right[i]]
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        alive[i] = 100 * common >= PERCENT * (len(a) + len(b) - common)
+    at = np.flatnonzero(alive)
+    alive[at] = exact_links(*sets, left[at], right[at])
     return alive
 
 
@@ -136,10 +160,14 @@ def linked_roots(sig: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     """For each of the items, the smallest index it is connected with through links.
 
     Pairs are those that share a band key. Within a run of a key every item meets the later
-    ones, but only those not linked to it already.
+    ones, but only those not linked to it already and not tested before in another band, so a
+    pair is tested once at most.
     """
     n = len(sets)
     label = np.arange(n)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    packed = (np.concatenate(sets) if n else np.zeros(0, np.uint64), np.cumsum(sizes) - sizes, sizes)
+    tested = np.zeros((n, n), bool)
     keys = band_keys(sig)
     for band in range(keys.shape[1]):
         order = np.argsort(keys[:, band], kind="stable")
@@ -150,13 +178,14 @@ def linked_roots(sig: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
                 continue
             run = order[a:b]
             for i in range(len(run) - 1):
-                others = run[i + 1 :]
-                others = others[label[others] != label[run[i]]]
+                one, others = run[i], run[i + 1 :]
+                others = others[(label[others] != label[one]) & ~tested[one, others]]
                 if not len(others):
                     continue
-                ok = verified(sig, sets, np.full(len(others), run[i]), others)
+                tested[one, others] = tested[others, one] = True
+                ok = verified(sig, packed, np.full(len(others), one), others)
                 for other in others[ok]:
-                    low, high = sorted((label[run[i]], label[other]))
+                    low, high = sorted((label[one], label[other]))
                     if low != high:
                         label[label == high] = low
     return label
