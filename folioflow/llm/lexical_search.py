@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from folioflow.llm.common import released, stage, table
@@ -30,6 +31,7 @@ from folioflow.operators.sizes import broadcast_if_small
 # Fixed values of the contract: the characters that are not part of a term, the constants of
 # the score, the size of each item's list.
 TERM_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 K1_MILLI = 1000
@@ -47,9 +49,13 @@ _OUT = pa.schema([("_item", pa.int64()), ("item_id", pa.int64()), ("doc_id", pa.
 
 
 def terms_of(text) -> "F.Column":
-    """The terms of a text in order, A-Z lower-cased; none for null."""
+    """The terms of a text in order, A-Z lower-cased; none for null.
+
+    The maximal matches of TERM_PATTERN are the pieces between runs of the other characters:
+    a split by SEPARATORS without its empty pieces, which is cheaper than extracting matches.
+    """
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(TERM_PATTERN), 0)
+    return F.filter(F.split(lowered, SEPARATORS), lambda term: term != F.lit(""))
 
 
 class _Node:
@@ -115,9 +121,9 @@ class _Lists:
 
     def offer(self, item: int, scores: np.ndarray, doc_ids: np.ndarray) -> None:
         heap = self.heaps[item]
-        for score, doc in zip(scores.tolist(), doc_ids.tolist()):
-            if score <= 0:
-                continue
+        # Only scores that can enter: at least the weakest kept one (ties by doc_id), above 0.
+        at = np.flatnonzero(scores >= (heap[0][0] if len(heap) >= self.k else 1))
+        for score, doc in zip(scores[at].tolist(), doc_ids[at].tolist()):
             entry = (score, -doc)
             if len(heap) < self.k:
                 heapq.heappush(heap, entry)
@@ -126,21 +132,22 @@ class _Lists:
 
 
 def _search_block(docs: pa.Table, items: pa.Table, k: int) -> Iterator[tuple[int, int, int, int]]:
-    vocabulary = {}
     item_terms = items.column("_terms").combine_chunks()
-    for t in item_terms.flatten().to_pylist():
-        vocabulary.setdefault(t, len(vocabulary))
-    code = lambda terms: np.array([vocabulary.get(t, -1) for t in terms], np.int64)
+    vocabulary = pc.unique(item_terms.flatten())
+
+    def code(terms: pa.Array) -> np.ndarray:
+        """Place of every term in the vocabulary, -1 where it has none (Arrow, not Python)."""
+        return pc.fill_null(pc.index_in(terms, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     i_lengths = item_terms.value_lengths().to_numpy(zero_copy_only=False)
     i_row = np.repeat(np.arange(len(items)), i_lengths)
-    i_term = code(item_terms.flatten().to_pylist())
+    i_term = code(item_terms.flatten())
     i_count = items.column("_counts").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
     doc_terms = docs.column("_terms").combine_chunks()
     d_lengths = doc_terms.value_lengths().to_numpy(zero_copy_only=False)
     d_row = np.repeat(np.arange(len(docs)), d_lengths)
-    d_term = code(doc_terms.flatten().to_pylist())
+    d_term = code(doc_terms.flatten())
     d_value = docs.column("_contributions").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     known = d_term >= 0
     d_row, d_term, d_value = d_row[known], d_term[known], d_value[known]
