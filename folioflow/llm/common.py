@@ -84,6 +84,16 @@ def texts(docs: DataFrame) -> DataFrame:
 ROW = ["_id", "_text_hash"]
 
 
+def free_name(base: str, taken: list[str]) -> str:
+    """`base`, with as many underscores put in front as make it differ from every name in
+    `taken` as Spark compares names (case ignored), so helper columns never clash with input ones."""
+    lower = {t.lower() for t in taken}
+    name = base
+    while name.lower() in lower:
+        name = "_" + name
+    return name
+
+
 def public_id() -> Column:
     """The id of a row as the caller knows it: null where it was null."""
     return F.when(F.col("_id") != NO_ID, F.col("_id"))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from folioflow.llm.common import table
+from folioflow.llm.common import free_name, table
 from folioflow.llm.labelled_blocks import labelled_pages
 
 _MARKUP = re.compile(
@@ -281,12 +281,13 @@ def extract_text(pages: DataFrame, column: str = "html", to: str = "text") -> Da
     """
     tree = trained_tree()
     kept = [c for c in pages.columns if c not in (column, to)]
-    rows = pages.select(*kept, F.col(column).cast("string").alias("_html"))
+    markup = free_name("_html", pages.columns)
+    rows = pages.select(*kept, F.col(column).cast("string").alias(markup))
     n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(h.as_py(), tree) for h in batch.column("_html")]
+            found = [main_text(h.as_py(), tree) for h in batch.column(markup)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:n], pa.array(found, pa.string())], names=[*batch.schema.names[:n], to]
             )

@@ -10,7 +10,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from folioflow.llm.common import short_batches, table
+from folioflow.llm.common import free_name, short_batches, table
 
 #: Bounds of the sample a dictionary is made of: documents per language, bytes of each, bytes in all.
 SAMPLE_DOCUMENTS = 256
@@ -135,9 +135,11 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
             )
 
     # Only the texts go to Python and only the verdicts come back.
-    judged = docs.select(*kept, judge(F.col("text").cast("string")).alias("_verdict"))
-    narrow = (F.col("_verdict.lang_pred") == UNKNOWN) | (F.col("_verdict.score") < min_margin)
-    return judged.select(*kept, "_verdict.lang_pred", "_verdict.score", narrow.alias("rejected"))
+    verdict = free_name("_verdict", docs.columns)
+    judged = docs.select(*kept, judge(F.col("text").cast("string")).alias(verdict))
+    lang, score = F.col(verdict).getField("lang_pred"), F.col(verdict).getField("score")
+    narrow = (lang == UNKNOWN) | (score < min_margin)
+    return judged.select(*kept, lang.alias("lang_pred"), score.alias("score"), narrow.alias("rejected"))
 
 
 def held_out() -> Column:

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioflow.llm.arrays import mixed, run_starts, spread
-from folioflow.llm.common import released, short_batches, slices, table
+from folioflow.llm.common import free_name, released, short_batches, slices, table
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -480,21 +480,22 @@ def encode_pieces(
     slice of texts, and a text of any length is a slice of its own.
     """
     kept = [c for c in (keep or docs.columns) if c != to]
+    text, key = free_name("_text", docs.columns), free_name("_key", docs.columns)
     rows = docs.select(
         *kept,
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_key"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias(text),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(key),
     )
     n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = MergeDropout(load_pieces(path), dropout, seed, variants)
         for batch in batches:
-            for first, last, raw, _ in slices(batch, "_text", SLICE_BYTES):
+            for first, last, raw, _ in slices(batch, text, SLICE_BYTES):
                 part = batch.slice(first, last - first)
                 ids, counts = encoder.encode(
-                    part.column("_text").to_pylist(),
-                    part.column("_key").to_numpy(zero_copy_only=False).astype(np.uint64),
+                    part.column(text).to_pylist(),
+                    part.column(key).to_numpy(zero_copy_only=False).astype(np.uint64),
                 )
                 offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
@@ -512,12 +513,13 @@ def decode_pieces(encoded: DataFrame, path: str, ids: str = "piece_ids", to: str
     """Add the text of the piece ids as column `to` (replaced if it is there). Null ids are none."""
     kept = [c for c in encoded.columns if c != to]
     n = len(kept)
-    rows = encoded.select(*kept, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("_ids"))
+    held = free_name("_ids", encoded.columns)
+    rows = encoded.select(*kept, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias(held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = MergeDropout(load_pieces(path), 0.0)
         for batch in batches:
-            counts = batch.column("_ids").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = batch.column(held).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(counts)
             first = 0
             while first < len(counts):
@@ -526,7 +528,7 @@ def decode_pieces(encoded: DataFrame, path: str, ids: str = "piece_ids", to: str
                 last = max(first + 1, int(np.searchsorted(ends, limit, "right")))
                 part = batch.slice(first, last - first)
                 content, sizes = decoder.decode(
-                    part.column("_ids").flatten().to_numpy(zero_copy_only=False), counts[first:last]
+                    part.column(held).flatten().to_numpy(zero_copy_only=False), counts[first:last]
                 )
                 offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 text = pa.StringArray.from_buffers(

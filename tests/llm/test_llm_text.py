@@ -275,5 +275,5 @@ def test_queries_are_registered_with_their_sql():
     import __spark_entry__ as entry
     from folioflow.llm.queries import ORACLE_SQL, QUERIES
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
