@@ -50,6 +50,16 @@ def test_suffix_dedup_of_long_parts_and_of_nothing(spark, monkeypatch):
     assert remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_suffix_dedup_of_many_copies(spark):
+    """Copies of a row (null id too) are searched once and still lose all, and still take
+    windows away from other texts; the answer comes back for every copy."""
+    rng = random.Random(2)
+    shared, alone = words(rng, 200), words(rng, 200)
+    rows = [(None, shared)] * 80 + [(5, alone + shared)] + [(6, alone[:300])] * 3 + [(7, words(rng, 150))]
+    got = remove_repeats(frame(spark, rows)).selectExpr("doc_id", "n_bytes", "n_removed", "size(spans) AS n", "kept_sha256")
+    assert rows_of(got, *got.columns) == cut_windows(rows, 400)
+
+
 def test_digit_passes_find_exactly_the_repeats():
     rng = np.random.default_rng(2)
     raw = rng.integers(97, 99, 4000).astype(np.uint8)
