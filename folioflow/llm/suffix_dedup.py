@@ -346,8 +346,11 @@ def remove_repeats(
     rows = texts(docs)
     runs = runs_of(rows, depth, anchor)
     shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    # Copies of a row (same id and text) have the same runs: each is gathered once per row, so
+    # the copies of a row do not multiply each other's work (small rows, combined map-side).
     by_text = (
         runs.join(shared.select("bucket"), "bucket", "left_semi")
+        .dropDuplicates([*ROW, "bucket", "start"])
         .groupBy(*ROW)
         .agg(F.collect_list(F.struct("bucket", "start", "n", "anchor")).alias("runs"))
     )
@@ -410,6 +413,7 @@ def remove_repeats(
     spans = (
         copied.unionByName(sorted_here)
         .unionByName(counted)
+        .dropDuplicates([*ROW, "start", "n"])
         .groupBy(*ROW)
         .agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     )
