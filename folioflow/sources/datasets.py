@@ -168,11 +168,20 @@ def dataset_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def merge_by(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows whose keys the batch does not hold, plus the batch. Null equals null."""
+def not_held(stored: DataFrame, batch: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Stored rows whose keys the batch does not hold. Null equals null.
+
+    `few` says that the keys have few values, such as days: these are broadcast. A join on them
+    would put all stored rows of a day into one task.
+    """
     held = batch.select(*[F.col(c).alias(f"_held_{c}") for c in keys]).distinct()
     same = all_of([F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in keys])
-    return stored.join(held, same, "left_anti").unionByName(batch, allowMissingColumns=True)
+    return stored.join(F.broadcast(held) if few else held, same, "left_anti")
+
+
+def merge_by(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows whose keys the batch does not hold, plus the batch. Null equals null."""
+    return not_held(stored, batch, keys).unionByName(batch, allowMissingColumns=True)
 
 
 def merge_by_date(stored: DataFrame, batch: DataFrame, date_column: str = TRADE_DATE) -> DataFrame:
@@ -203,9 +212,10 @@ def upsert_by_date(
     codes replaces by date and code. A null date is a value like any other.
 
     The batch is evaluated once, into a staged table. Its months are few and listed once to
-    prune the stored read; without a grain the whole dataset is read and written again. The merged rows are staged as well, since a folder cannot be
-    overwritten while it is being read. Folders that lost all their rows are removed after the
-    write. Stages are removed at the end.
+    prune the stored read; without a grain the whole dataset is read and written again. The
+    stored rows that stay are staged as well, since a folder cannot be overwritten while it is
+    being read. Folders that lost all their rows are removed after the write. Stages are removed
+    at the end. Days are few (the calendar bounds them), so a replacement by date broadcasts them.
     """
     spark = batch.sparkSession
     keys = list(replace_by or [date_column])
@@ -228,8 +238,10 @@ def upsert_by_date(
                     wanted = wanted | F.col(grain).isNull()
                 stored = stored.where(wanted).drop(grain)
             before = in_folders(stored).collect() if folders else []
-            batch = stage(merge_by(stored.select(*schema.fieldNames()), batch, keys))
-            if folders:
+            if before or not folders:
+                kept = not_held(stored.select(*schema.fieldNames()), batch, keys, few=keys == [date_column])
+                batch = stage(kept).unionByName(batch)
+            if before:
                 lost = set(before) - set(in_folders(batch).collect())
                 emptied = [_folder(spark, path, folders, row) for row in lost]
         write_dataset(batch, path, schema, partition_by, grain, date_column, **write_options)
