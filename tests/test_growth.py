@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from folioflow.operators import graph
 from folioflow.sources import datasets
 
 D = dt.date
@@ -18,3 +19,10 @@ def test_stored_rows_are_not_shuffled_by_day_in_an_upsert(spark):
     kept = datasets.not_held(stored, batch, ["trade_date"], few=True)
     assert "BroadcastHashJoin" in plan_of(kept) and "SortMergeJoin" not in plan_of(kept)
     assert [tuple(r) for r in kept.collect()] == [("a", D(2020, 1, 1), 1.0)]
+
+
+def test_look_through_never_broadcasts_edges(spark):
+    edges = spark.createDataFrame([(D(2020, 1, 1), "a", "b", 0.5)], "day date, root string, child string, share double")
+    rates = edges.toDF("_day", "_owner", "_held", "_rate")
+    for step in (graph._next_level(edges, rates), graph._product(edges, edges)):
+        assert "SortMergeJoin" in plan_of(step) and "BroadcastHashJoin" not in plan_of(step)
