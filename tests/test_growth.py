@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from folioflow.operators import graph
+from folioflow.operators import graph, positions
 from folioflow.sources import datasets
 
 D = dt.date
@@ -26,3 +26,25 @@ def test_look_through_never_broadcasts_edges(spark):
     rates = edges.toDF("_day", "_owner", "_held", "_rate")
     for step in (graph._next_level(edges, rates), graph._product(edges, edges)):
         assert "SortMergeJoin" in plan_of(step) and "BroadcastHashJoin" not in plan_of(step)
+
+
+def test_positions_are_shuffled_once_for_lag_and_term(spark):
+    schema = "book_id string, instrument_code string, trade_date date, quantity double"
+    rows = spark.createDataFrame([("a", "x", D(2020, 1, 1), 1.0), ("a", "x", D(2020, 1, 2), 2.0), (None, "x", None, 3.0)], schema)
+    terms = spark.createDataFrame(
+        [("a", "x", D(2020, 1, 2), 7.0), ("a", "x", D(2020, 1, 2), None), (None, "x", None, 5.0)],
+        "book_id string, instrument_code string, trade_date date, remn_term double",
+    )
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        laid_out = rows.repartition("book_id", "instrument_code")
+        done = positions.with_repo_term(laid_out, terms)
+        join = plan_of(done).split("SortMergeJoin")[1]
+        left = join[: join.index("Aggregate")]
+        assert left.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_COL" in left, join
+        got = sorted((r["book_id"] or "", r["quantity"], r["remn_term"]) for r in done.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # As a left join: a repeated term repeats the row, a null key has no term.
+    assert got == [("", 3.0, 0.0), ("a", 1.0, 0.0), ("a", 2.0, 0.0), ("a", 2.0, 7.0)]
