@@ -248,7 +248,8 @@ SHARE_COLUMNS = ("preferred_stock", "due_date", "shares_outstanding", "circulati
 def with_share_structure(quotes: DataFrame, changes: DataFrame) -> DataFrame:
     """Share counts as of each day per issuer; days before the first change take the first.
 
-    Of several changes announced on one day the latest change date counts.
+    Of several changes announced on one day the latest change date counts. An issuer may have
+    any number of instruments, so its days are cut into slices.
     """
     per_day = keep_last(changes, ["issuer_code", "announced"], ["due_date", *SHARE_COLUMNS])
     asof = asof_join(
@@ -259,7 +260,6 @@ def with_share_structure(quotes: DataFrame, changes: DataFrame) -> DataFrame:
         "announced",
         {c: f"_{c}" for c in SHARE_COLUMNS},
         per_column=True,
-        sliced=False,
     )
     first = per_day.groupBy("issuer_code").agg(*first_known(SHARE_COLUMNS, ["announced"]))
     return asof.join(first, "issuer_code", "left").select(

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from folioflow.operators import graph, positions
+from folioflow.plans.market_data import with_share_structure
 from folioflow.sources import datasets
 
 D = dt.date
@@ -48,3 +49,18 @@ def test_positions_are_shuffled_once_for_lag_and_term(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     # As a left join: a repeated term repeats the row, a null key has no term.
     assert got == [("", 3.0, 0.0), ("a", 1.0, 0.0), ("a", 2.0, 0.0), ("a", 2.0, 7.0)]
+
+
+def test_shares_of_an_issuer_are_found_slice_by_slice(spark):
+    quotes = spark.createDataFrame(
+        [("p", "i", D(2020, 1, 1)), ("q", "i", D(2020, 3, 1)), ("p", "i", D(2020, 5, 1)), ("r", None, D(2020, 1, 1))],
+        "instrument_code string, issuer_code string, trade_date date",
+    )
+    changes = spark.createDataFrame(
+        [("i", D(2020, 2, 1), D(2020, 2, 1), None, 10.0, 5.0), ("i", D(2020, 4, 1), D(2020, 4, 1), 2.0, None, 6.0)],
+        "issuer_code string, announced date, due_date date, preferred_stock double, shares_outstanding double, circulating_shares double",
+    )
+    done = with_share_structure(quotes, changes)
+    assert "_slice" in plan_of(done)
+    got = sorted((r["instrument_code"], r["trade_date"].month, r["preferred_stock"], r["shares_outstanding"], r["circulating_shares"]) for r in done.collect())
+    assert got == [("p", 1, 2.0, 10.0, 5.0), ("p", 5, 2.0, 10.0, 6.0), ("q", 3, 2.0, 10.0, 5.0), ("r", 1, None, None, None)]
