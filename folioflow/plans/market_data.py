@@ -104,7 +104,11 @@ def product_values(ctx: BuildContext) -> DataFrame:
         F.col("ADJ_UNIT_NAV").cast("double").alias("close_adjusted"),
     )
     assets = ctx.table("DM_PORT_ASSET")
-    direct = rename_for("CombAsset", assets.where(F.col("DOWN_FLAG") == DIRECT_HOLDINGS)).select(
+    held = assets.where(F.col("DOWN_FLAG") == DIRECT_HOLDINGS)
+    if ctx.end is not None:
+        # Values look back only. A row without a day comes before all others.
+        held = held.where(F.col("BUSI_DATE").isNull() | (F.col("BUSI_DATE").cast("date") <= F.lit(ctx.end)))
+    direct = rename_for("CombAsset", held).select(
         "instrument_code",
         F.col("trade_date").cast("date").alias("trade_date"),
         *[F.col(c).cast("double").alias(c) for c in ("close", "quantity", "net_cptl_inflow_amt")],
@@ -112,7 +116,7 @@ def product_values(ctx: BuildContext) -> DataFrame:
     starts = assets.groupBy(F.col("PRODUCT_CODE").alias("instrument_code")).agg(
         F.min(F.col("SET_UP_DATE").cast("date")).alias("start_date")
     )
-    return fill_missing_nav(stored, adjusted_nav(direct, starts))
+    return fill_missing_nav(stored, adjusted_nav(direct, starts).where(ctx.in_span("trade_date")))
 
 
 keeps_last_rows("FundDailyQuote", ("instrument_code",), ("trade_date",))

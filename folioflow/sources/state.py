@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 PREFIX = "as_of="
 
@@ -50,8 +50,16 @@ def _remove(spark: SparkSession, path: str, days: Sequence[date]) -> None:
 
 
 def last_rows(rows: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of every key by `order`: an aggregate that combines before its shuffle."""
+    """The last row of every key by `order`: an aggregate that combines before its shuffle.
+
+    Where one day orders the rows the others are taken one by one: all see the rows in the same
+    order, so they come from one row, and numbers and days are then aggregated in hash tables,
+    without a sort of all rows. A row without a day comes before all others."""
     columns = [c for c in rows.columns if c not in by]
+    if len(order) == 1:
+        place = F.coalesce(F.unix_date(order[0]), F.lit(-(1 << 31))) if rows.schema[order[0]].dataType == T.DateType() else F.struct(*order)
+        last = [F.max_by(c, place).alias(c) for c in columns if c != order[0]]
+        return rows.groupBy(*by).agg(F.max(order[0]).alias(order[0]), *last).select(*by, *columns)
     last = rows.groupBy(*by).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
     return last.select(*by, *[F.col("_last").getField(c).alias(c) for c in columns])
 

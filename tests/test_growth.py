@@ -4,7 +4,7 @@ import datetime as dt
 
 from folioflow.operators import graph, positions
 from folioflow.plans.market_data import with_share_structure
-from folioflow.sources import datasets
+from folioflow.sources import datasets, state
 
 D = dt.date
 
@@ -64,3 +64,10 @@ def test_shares_of_an_issuer_are_found_slice_by_slice(spark):
     assert "_slice" in plan_of(done)
     got = sorted((r["instrument_code"], r["trade_date"].month, r["preferred_stock"], r["shares_outstanding"], r["circulating_shares"]) for r in done.collect())
     assert got == [("p", 1, 2.0, 10.0, 5.0), ("p", 5, 2.0, 10.0, 6.0), ("q", 3, 2.0, 10.0, 5.0), ("r", 1, None, None, None)]
+
+
+def test_last_rows_of_numbers_are_hashed_not_sorted(spark):
+    data = [("a", D(2020, 1, 1), 1.0), ("a", D(2020, 1, 2), None), ("b", None, 3.0), ("c", None, 4.0), ("c", D(2020, 1, 1), 5.0)]
+    last = state.last_rows(spark.createDataFrame(data, "code string, trade_date date, price double"), ["code"], ["trade_date"])
+    assert "SortAggregate" not in plan_of(last)
+    assert sorted(map(tuple, last.collect())) == [("a", D(2020, 1, 2), None), ("b", None, 3.0), ("c", D(2020, 1, 1), 5.0)]
