@@ -8,9 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from corpus_cases import edited, frame, rows_of, texts, words
+from pyspark.sql import functions as F
 
 from folioflow.llm import line_dedup as L, linking, ngram_join as N
-from folioflow.llm.suffix_dedup import remove_repeats, repeats
+from folioflow.llm.suffix_dedup import of_repeated, remove_repeats, repeats
 
 
 def cut_windows(rows, depth):
@@ -60,6 +61,37 @@ def test_suffix_dedup_of_many_copies(spark):
     assert rows_of(got, *got.columns) == cut_windows(rows, 400)
 
 
+def test_suffix_dedup_of_one_line_repeated_very_often(spark):
+    """Anchors and fragments of more rows than one task shall get: dealt out, with the same result."""
+    rng = random.Random(3)
+    line = words(rng, 30) + "\n"
+    rows = [(i, words(rng, 20 + i) + line * (9 + i) + words(rng, 90)) for i in range(8)]
+    rows += [(i, rows[i - 20][1]) for i in range(20, 24)] + [(30, line * 2), (None, line * 12), (31, words(rng, 200))]
+    for hot_rows in (1, 5, 10_000):
+        got = remove_repeats(frame(spark, rows), hot_rows=hot_rows)
+        got = got.selectExpr("doc_id", "n_bytes", "n_removed", "size(spans) AS n", "kept_sha256")
+        assert rows_of(got, *got.columns) == cut_windows(rows, 400)
+
+
+def test_rows_of_a_hot_key_are_not_looked_up_in_one_task(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        runs = spark.range(4_000).selectExpr(
+            "id AS _id", "id AS _text_hash", "IF(id < 3000, -7, id DIV 2 + IF(id > 3900, id, 0)) AS bucket",
+            "encode('x', 'utf-8') AS digest", "id * 5 AS start",
+        )
+        for keys in (["bucket"], ["bucket", "digest"]):
+            counts = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            got = of_repeated(runs, counts, keys, 100)
+            assert got.columns == runs.columns
+            want = runs.join(counts.where("_n > 1").select(*keys), keys, "left_semi").select(runs.columns)
+            assert rows_of(got, "_id", "bucket", "start") == rows_of(want, "_id", "bucket", "start")
+            dealt = got.groupBy(F.spark_partition_id()).count().collect()
+            assert max(r[1] for r in dealt) < 2_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_digit_passes_find_exactly_the_repeats():
     rng = np.random.default_rng(2)
     raw = rng.integers(97, 99, 4000).astype(np.uint8)
