@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.llm.arrays import classes_of, mixed, run_starts, shingle_sets, spread
-from folioflow.llm.common import ROW, public_id, released, slices, stage, table, texts
+from folioflow.llm.common import ROW, KeyFilter, public_id, released, slices, stage, table, texts
 from folioflow.llm.linking import (
     BLOCKS_DDL,
     candidate_edges,
@@ -22,13 +22,10 @@ from folioflow.llm.linking import (
     packed_postings,
     solve_groups,
 )
-from folioflow.operators.sizes import broadcast_if_small
 
 #: Distinct sets, and shingles of them, that meet in one task.
 GROUP_SETS = 4096
 GROUP_SHINGLES = 2_000_000
-#: Wanted sets up to this number are looked up in memory, more by a shuffle.
-BROADCAST_SETS = 500_000
 #: Shingles are common if so many documents of a sample of about so many hold them; the list that
 #: goes to the workers is bounded.
 COMMON_TIMES = 3
@@ -308,14 +305,13 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, raw, offsets in slices(batch, limit=SLICE_BYTES):
+            for _, _, raw, offsets in slices(batch, limit=SLICE_BYTES):
                 shingle, sizes = shingle_sets(raw, offsets, rule.words)
                 ends = (np.r_[0, np.cumsum(sizes)] * 8).astype(np.int32)
                 content = pa.BinaryArray.from_buffers(
                     pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(shingle.astype("<u8"))]
                 )
-                part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([part.column("item"), content], names=["item", "payload"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_ids(shingle, sizes)), content], names=["item", "payload"])
 
     sized = stage(
         rows.select(*ROW, "text").mapInArrow(released(ids_and_sizes), "_id long, _text_hash long, n_shingles long, item long"),
@@ -331,10 +327,12 @@ def jaccard_classes(docs: DataFrame, rule: Threshold) -> DataFrame:
     )
     chosen = stage(chosen.select("item", "_row.*", "weight", "component"), "ngram-members")
     met = groups_of(chosen, GROUP_SETS, GROUP_SHINGLES)
-    wanted = broadcast_if_small(chosen.select(*ROW, "item"), BROADCAST_SETS)
+    # Texts are never shuffled: rows that hold no wanted set go before their sets are worked out,
+    # the few others that pass meet no group.
+    wanted = KeyFilter(chosen, F.xxhash64(*ROW))
     sets = (
-        rows.join(wanted, ROW)
-        .select("item", "text")
+        wanted.may_have(rows.select("text", F.xxhash64(*ROW).alias("_key")), "_key")
+        .select("text")
         .mapInArrow(released(payloads), "item long, payload binary")
         .dropDuplicates(["item"])
     )
