@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from folioflow.columns import DEFAULT_INDEXES
@@ -39,7 +41,11 @@ def _clean(positions: DataFrame) -> DataFrame:
     )
 
 
-def position_detail(ctx: BuildContext) -> DataFrame:
+#: Looked-through positions meet their owners by book and day.
+BY_BOOK = ("book_id", "trade_date")
+
+
+def position_detail(ctx: BuildContext, laid_out: Sequence[str] = ()) -> DataFrame:
     """Direct holdings of the span, consolidated and cleaned; no lags yet."""
     detail = ctx.table("INDIC_BASE_PORT_POS_DTL", "BIZ_DATE").where(
         F.col("DOWN_FLAG") == DIRECT_HOLDINGS
@@ -48,7 +54,7 @@ def position_detail(ctx: BuildContext) -> DataFrame:
         "book_id", "currency", "trade_date", "instrument_code", "secu_type_code", "symbol",
         "instrument_name", "held_to_maturity", "instrument_type", "market",
     ]
-    rows = _clean(consolidate_positions(rename_for("CombPosition", detail), keys))
+    rows = _clean(consolidate_positions(rename_for("CombPosition", detail), keys, laid_out=laid_out))
     return rows.replace("CASH_OTHER", "CASH", ["instrument_type"])
 
 
@@ -60,7 +66,10 @@ def repo_terms(ctx: BuildContext) -> DataFrame:
         F.col("REMN_TERM").cast("double").alias("remn_term"),
         F.col("POS_COST").cast("double").alias("cost"),
     )
-    return weighted_term(repos, ["book_id", "trade_date", "instrument_code"])
+    # As positions lie for their lags.
+    return weighted_term(
+        repos, ["book_id", "trade_date", "instrument_code"], laid_out=["book_id", "instrument_code"]
+    )
 
 
 keeps_last_rows("CombPosition", ("book_id", "instrument_code"), POSITION_ORDER)
@@ -81,8 +90,8 @@ def comb_position_penetrate(ctx: BuildContext) -> DataFrame:
     """The stored rows do not tell the share they were scaled with, which orders the rows of a
     day; so what came before the span is worked out from the sources."""
     before = ctx.before()
-    earlier = scaled_positions(position_detail(before), _pairs(before)) if before else None
-    return penetrate_positions(position_detail(ctx), _pairs(ctx), repo_terms(ctx), earlier=earlier)
+    earlier = scaled_positions(position_detail(before, BY_BOOK), _pairs(before)) if before else None
+    return penetrate_positions(position_detail(ctx, BY_BOOK), _pairs(ctx), repo_terms(ctx), earlier=earlier)
 
 
 @builds("DownRelationPortfolio")
