@@ -85,14 +85,17 @@ def _last_known(name: str, window) -> Column:
     )
 
 
-def _fill(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], descending: bool) -> DataFrame:
+def _fill(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], descending: bool, null_keys: bool = True
+) -> DataFrame:
     """Fill nulls by the last known value of the key, the input read once.
 
     Within each slice of a key a window fills what the slice itself knows. The tail of every
     slice (its last known values) is an aggregate over the same partitioning, so it needs no
     exchange of its own and the exchange of the rows is reused: the input is scanned once. The
     tails, one row per slice, are carried along the key and joined back to the slices' rows,
-    filling what is still null.
+    filling what is still null. Without `null_keys` the rows meet them where they lie: a join
+    that matches nulls is one on other keys and shuffles them again.
     """
     sliced = df.withColumn(_SLICE, slice_of(df, order[0]))
     inside = Window.partitionBy(*by, _SLICE).orderBy(*_sorted(order, descending))
@@ -112,10 +115,11 @@ def _fill(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Seque
         *[F.col(c).alias(f"_key_{i}") for i, c in enumerate(keys)],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_in_{i}") for i, c in enumerate(columns)],
     )
-    # Null keys meet null keys, as in the window.
+    # Null keys meet null keys, as in the window. A slice is never null.
+    pairs = [(F.col(f"_rows.`{c}`"), F.col(f"_key_{i}")) for i, c in enumerate(keys)]
     joined = local.alias("_rows").join(
         carried,
-        [F.col(f"_rows.`{c}`").eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate(keys)],
+        [a.eqNullSafe(b) if null_keys else a == b for a, b in pairs],
         "left",
     )
     return joined.select(
@@ -240,8 +244,11 @@ def asof_join(
         *found.values(),
     )
     both = stacked_left.unionByName(stacked_right, allowMissingColumns=True)
-    fill = fill_forward if backward else fill_backward
-    filled = fill(both, keys, ["_time", "_side", *ties], list(found), sliced)
+    order = ["_time", "_side", *ties]
+    if sliced:
+        filled = _fill(both, keys, order, list(found), not backward, null_keys=False)
+    else:
+        filled = (fill_forward if backward else fill_backward)(both, keys, order, list(found), False)
     matched = filled.where(F.col("_side") == (1 if backward else 0)).select(
         *left.columns, *results
     )

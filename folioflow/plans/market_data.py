@@ -13,8 +13,10 @@ from folioflow.operators.dedupe import first_known, keep_first, keep_last
 from folioflow.operators.filters import RATING_AGENCIES, restrict_to_codes
 from folioflow.operators.nav import adjusted_nav, fill_missing_nav, returns
 from folioflow.operators.ordered import asof_join
-from folioflow.operators.reshape import union_all
+from folioflow.operators.reshape import union_all, union_distinct
 from folioflow.plans.build import BuildContext, builds, keeps_last_rows, rename_for, restrict
+from folioflow.schemas import DATASETS
+from folioflow.sources.storage import staged
 
 # Source codes that select rows.
 MID_PRICE, PUBLISHER = "001", "001"
@@ -277,11 +279,13 @@ def stock_daily_quote(ctx: BuildContext) -> DataFrame:
     members = ctx.table("INFO_IDX_WT_STK", "TRD_DATE").where(F.col("IDX_CODE") == MEMBER_INDEX)
     held = ctx.held("STOCK")
     wanted = [members.select("CPN_CODE")] if held is None else [held, members.select("CPN_CODE")]
-    prices = restrict_to_codes(prices, wanted, "STK_CODE")
     issuers = ctx.table("INFO_STK_BASICINFO").select("STK_CODE", "PARTY_CODE")
+    # By code and day first, as both sides lie; then by code alone, restricted and named at once.
+    # The codes are distinct, so this is the semi join, which Spark would move below the first.
+    codes = union_distinct([c.select(F.col(c.columns[0]).alias("STK_CODE")) for c in wanted])
     rows = prices.join(ctx.table("INFO_STK_VALUATION", "END_DATE"), ["STK_CODE", "END_DATE"]).join(
-        issuers, "STK_CODE", "left"
-    )
+        codes, "STK_CODE"
+    ).join(issuers, "STK_CODE", "left")
     quotes = rename_for("StockDailyQuote", rows).withColumns(
         {
             "trade_date": F.col("trade_date").cast("date"),
@@ -289,6 +293,10 @@ def stock_daily_quote(ctx: BuildContext) -> DataFrame:
             "dividend_yield": percent("dividend_yield"),
         }
     )
+    # Read three times from here on (rows, last values of their slices, rows without a key), so
+    # written once instead of joined three times.
+    named = [f.name for f in DATASETS["StockDailyQuote"].schema if f.name in quotes.columns]
+    quotes = staged(quotes.select(*named))
     # All announcements, whatever the span: days before an issuer's first take that one.
     changes = ctx.table("INFO_PARTY_SHRSTRUC").select(
         F.col("PARTY_CODE").alias("issuer_code"),
